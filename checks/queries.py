@@ -69,7 +69,7 @@ def tidy(df: DataFrame) -> DataFrame:
 
 
 def _sources(spark, sf):
-    return t.customers(spark, sf), t.orders(spark, sf), t.order_items(spark, sf)
+    return t.customers(spark, sf), t.orders(spark, sf), t.order_lines(spark, sf)
 
 
 # Customer lifetime value --------------------------------------------------
@@ -80,7 +80,7 @@ def completed_orders(spark, sf):
 
 
 def order_revenue(spark, sf):
-    return tidy(customers.order_revenue(t.order_items(spark, sf)))
+    return tidy(customers.order_revenue(t.order_lines(spark, sf)))
 
 
 def customer_stats_sql(spark, sf):
@@ -181,7 +181,7 @@ def lead_time_override(spark, sf):
 def _reorder(spark, sf, profile="sql", orders=None, override=None):
     return reorder_rows(
         t.products(spark, sf),
-        t.order_items(spark, sf),
+        t.order_items(spark, sf) if profile == "sql" else t.order_lines(spark, sf),
         t.orders(spark, sf) if orders is None else orders,
         REF,
         RUN_TS,
@@ -201,7 +201,7 @@ def reorder_sql_override(spark, sf):
 
 def _velocity_runner(spark, sf, strict=False):
     return velocity.sales_velocity_runner(
-        t.products(spark, sf), t.order_items(spark, sf), t.orders(spark, sf), REF, strict_window=strict
+        t.products(spark, sf), t.order_lines(spark, sf), t.orders(spark, sf), REF, strict_window=strict
     )
 
 
@@ -235,7 +235,7 @@ def abc_classes(spark, sf):
 
 
 def cumulative_revenue(spark, sf):
-    revenue = t.order_items(spark, sf).groupBy("product_id").agg(F.sum("line_total").alias("revenue"))
+    revenue = t.order_lines(spark, sf).groupBy("product_id").agg(F.sum("line_total").alias("revenue"))
     return tidy(cumulative_share(revenue, "revenue", "product_id"))
 
 

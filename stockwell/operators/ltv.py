@@ -117,5 +117,9 @@ def ltv_ranks(scored: DataFrame) -> DataFrame:
 
 
 def ltv_stage(scored: DataFrame, run_ts) -> DataFrame:
-    """The 20-column stage: ranked scores stamped with one run timestamp."""
-    return ltv_ranks(scored).withColumn("computed_at", run_timestamp(run_ts)).select(*STAGE_COLUMNS)
+    """The 20-column stage: ranked scores stamped with one run timestamp.
+
+    Columns are pruned first, because ranking writes the rows it sorts.
+    """
+    needed = scored.select(*[c for c in STAGE_COLUMNS if c in scored.columns])
+    return ltv_ranks(needed).withColumn("computed_at", run_timestamp(run_ts)).select(*STAGE_COLUMNS)

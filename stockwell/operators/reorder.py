@@ -142,7 +142,10 @@ def reorder_metrics_runner(
 
 def reorder_plan_runner(metrics: DataFrame, run_ts) -> DataFrame:
     """The eight target columns with ABC classes by all-time revenue."""
-    classed = abc_classify(metrics, "total_revenue", "product_id")
+    needed = metrics.select(
+        "product_id", "sku", "current_stock", "reorder_qty", "reorder_point", "safety_stock", "total_revenue"
+    )
+    classed = abc_classify(needed, "total_revenue", "product_id")
     return classed.withColumn("computed_at", run_timestamp(run_ts)).select(
         "product_id",
         "sku",

@@ -14,6 +14,8 @@ RECOMMENDED = {
     # Split a hot join key even where the split costs one more exchange.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Call-site capture costs more than planning for column-rich queries.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Drop checkpoint files once the DataFrame that owns them is gone.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
