@@ -25,9 +25,11 @@ _SLICE = "_slice"
 
 
 def _same(a, b) -> bool:
-    if isinstance(a, float) and isinstance(b, float) and math.isnan(a) and math.isnan(b):
+    """Whether two slice edges hold the same value; NaN equals NaN."""
+    x, y = a["v"], b["v"]
+    if isinstance(x, float) and isinstance(y, float) and math.isnan(x) and math.isnan(y):
         return True
-    return a == b
+    return x == y
 
 
 def _tie_starts(slices: DataFrame, value: str, summary: list) -> list[int | None]:
