@@ -37,7 +37,10 @@ def parse_audit_lines(lines: DataFrame, column: str = "value") -> DataFrame:
         F.when(platform.isNull(), "unknown")
         .otherwise(F.try_variant_get(doc, "$.payload.event.platform", "string"))
         .alias("platform"),
-        F.try_variant_get(doc, "$.payload.confidence", "string").try_cast("double").alias("confidence"),
+        F.coalesce(
+            F.try_variant_get(doc, "$.payload.confidence", "double"),
+            F.try_variant_get(doc, "$.payload.confidence", "string").try_cast("double"),
+        ).alias("confidence"),
     )
 
 
