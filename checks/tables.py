@@ -17,8 +17,21 @@ EVENTS_END = dt.datetime(2024, 1, 31, 0, 0, 0)
 MID_MONTH = dt.datetime(2024, 1, 16, 0, 0, 0)
 
 
+# The files' own schemas, stated so that reading needs no footer scan.
+SCHEMAS = {
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double,"
+    " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:

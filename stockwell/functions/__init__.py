@@ -15,6 +15,7 @@ from stockwell.functions.numbers import (
     least_strict,
     population_variance,
     retention,
+    round_half_even,
 )
 
 __all__ = [
@@ -31,5 +32,6 @@ __all__ = [
     "population_variance",
     "retention",
     "revenue_tier",
+    "round_half_even",
     "run_timestamp",
 ]

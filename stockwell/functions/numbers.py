@@ -63,3 +63,29 @@ def population_variance(count: Column, total: Column, total_of_squares: Column)
 
 def retention(days_since_last: Column, decay_per_day: float) -> Column:
     return F.exp(F.lit(-decay_per_day) * days_since_last)
+
+
+def round_half_even(value: Column, digits: int) -> Column:
+    """Round the exact binary value, ties to even, as Python's ``round`` does.
+
+    Spark's ``round`` works on the shortest decimal text instead, so 2.675
+    becomes 2.68 there and 2.67 here. The rounding error of ``value * 10^n`` is
+    recovered exactly by splitting ``value`` into two halves (Dekker 1971), and
+    decides which side of a tie the value lies on.
+    """
+    scale = F.lit(10.0**digits)
+    product = value * scale
+    spread = value * F.lit(134217729.0)
+    high = spread - (spread - value)
+    error = (high * scale - product) + (value - high) * scale
+    below = F.floor(product).cast("double")
+    side = product - below - 0.5
+    up = (
+        F.when(side > 0, 1.0)
+        .when(side < 0, 0.0)
+        .when(error > 0, 1.0)
+        .when(error < 0, 0.0)
+        .otherwise(F.pmod(below, F.lit(2.0)))
+    )
+    # From 2^52 on a double has no fraction left to round.
+    return F.when(F.abs(product) < 2.0**52, (below + up) / scale).otherwise(value)

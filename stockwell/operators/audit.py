@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stockwell.functions import round_half_even
+
 # Event types of the audit log.
 RECEIVED = "event.received"
 PR_CREATED = "pr.created"
@@ -26,12 +28,12 @@ def audit_stats(events: DataFrame) -> DataFrame:
         F.count_distinct(fixed_id).alias("incidents_with_pr"),
         F.avg(confidence).alias("_confidence"),
     )
-    rate = F.try_divide(F.col("incidents_with_pr") * 100.0, F.col("total_incidents"))
-    return sums.select(
+    rate = F.try_divide(F.col("incidents_with_pr"), F.col("total_incidents")) * 100
+    return sums.withColumn("_rate", rate).select(
         "total_incidents",
         "incidents_with_pr",
-        F.coalesce(F.round(rate, 2), F.lit(0.0)).alias("success_rate"),
-        F.coalesce(F.round("_confidence", 3), F.lit(0.0)).alias("avg_confidence"),
+        F.coalesce(round_half_even(F.col("_rate"), 2), F.lit(0.0)).alias("success_rate"),
+        F.coalesce(round_half_even(F.col("_confidence"), 3), F.lit(0.0)).alias("avg_confidence"),
     )
 
 

@@ -119,6 +119,11 @@ def customer_order_stats(
     )
 
 
+def by_revenue(stats: DataFrame) -> DataFrame:
+    """Largest total revenue first, for showing a result. Not for a write."""
+    return stats.orderBy(F.col("total_revenue").desc_nulls_first())
+
+
 def recency_features(stats: DataFrame, reference_date: dt.date) -> DataFrame:
     """Recency and tenure for customers with at least one completed order."""
     today = F.lit(reference_date)

@@ -7,7 +7,16 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockwell.functions import day_gap, divide, least_strict, ltv_tier, month_gap, retention, run_timestamp
+from stockwell.functions import (
+    day_gap,
+    divide,
+    least_strict,
+    ltv_tier,
+    month_gap,
+    retention,
+    round_half_even,
+    run_timestamp,
+)
 from stockwell.operators.ranking import ordered
 from stockwell.params import LTV_RUNNER, LTV_SQL
 
@@ -84,20 +93,23 @@ def score_runner(
     uplift = 1 + F.col("order_count") * F.lit(params.uplift_per_order)
     return (
         timed.withColumn(
+            "_forecast",
+            F.when(~idle, _monthly_revenue(on_zero) * 12.0 * F.col("retention_factor")),
+        )
+        .withColumn(
             "predicted_revenue_12m",
-            F.when(idle, 0.0).otherwise(
-                F.round(_monthly_revenue(on_zero) * 12.0 * F.col("retention_factor"), 2)
-            ),
+            F.when(idle, 0.0).otherwise(round_half_even(F.col("_forecast"), 2)),
         )
+        .withColumn("_uplifted", F.col("predicted_revenue_12m") * uplift)
+        .withColumn("_churn", 1.0 - F.col("retention_factor"))
         .withColumns(
             {
-                "ltv_score": F.when(idle, 0.0).otherwise(
-                    F.round(F.col("predicted_revenue_12m") * uplift, 2)
-                ),
-                "churn_risk_score": F.when(idle, 1.0).otherwise(F.round(1.0 - F.col("retention_factor"), 4)),
+                "ltv_score": F.when(idle, 0.0).otherwise(round_half_even(F.col("_uplifted"), 2)),
+                "churn_risk_score": F.when(idle, 1.0).otherwise(round_half_even(F.col("_churn"), 4)),
             }
         )
         .withColumn("ltv_tier", ltv_tier(F.col("ltv_score")))
+        .drop("_forecast", "_uplifted", "_churn")
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 LTV_COMPARE = ("ltv_score", "ltv_tier", "predicted_revenue_12m", "churn_risk_score")
@@ -36,6 +36,7 @@ def upsert(
     null_safe: bool = False,
     cast_before_compare: bool = False,
     newer_by: str | None = None,
+    reject_duplicates: bool = False,
 ) -> DataFrame:
     """The target after merging ``source`` into it, plus ``_action``.
 
@@ -48,6 +49,8 @@ def upsert(
     ``cast_before_compare=True`` compares values as the target would store
     them, so that rounding on write is not taken for a change. ``newer_by``
     names a column by which a match is rewritten only when the source is newer.
+    ``reject_duplicates=True`` fails the job where several source rows match
+    one target row; the count shares the exchange and sort of the join.
     """
     keys = list(keys)
     values = [c for c in target.columns if c not in keys]
@@ -61,6 +64,8 @@ def upsert(
         *[F.col(c).alias(f"_new_{c}") for c in values if c in source.columns],
         F.lit(True).alias("_in_source"),
     )
+    if reject_duplicates:
+        new = new.withColumn("_copies", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
     joined = old.join(new, keys, "full_outer")
 
     def incoming(name: str) -> Column:
@@ -81,6 +86,11 @@ def upsert(
     action = (
         F.when(F.col("_in_target").isNull(), "inserted").when(matched & changed, "updated").otherwise("kept")
     )
+    if reject_duplicates:
+        action = F.when(
+            matched & (F.col("_copies") > 1),
+            F.raise_error(F.lit("several source rows match one target row")).cast("string"),
+        ).otherwise(action)
     decided = joined.withColumn(ACTION, action)
     columns = []
     for name in target.columns:

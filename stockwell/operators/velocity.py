@@ -30,10 +30,21 @@ VELOCITY_COLUMNS = (
 
 
 def recent_completed_lines(
-    items: DataFrame, orders: DataFrame, reference_date: dt.date, lookback_days: int = 90
+    items: DataFrame,
+    orders: DataFrame,
+    reference_date: dt.date,
+    lookback_days: int = 90,
+    date_partition: str | None = None,
 ) -> DataFrame:
-    """Order lines of completed orders inside the lookback, with lead days."""
-    recent = items.filter(F.col("created_at") >= days_before(reference_date, lookback_days)).select(
+    """Order lines of completed orders inside the lookback, with lead days.
+
+    ``date_partition`` names a column holding the date of ``created_at`` by
+    which the lines are stored; older partitions are then never listed.
+    """
+    cutoff = days_before(reference_date, lookback_days)
+    if date_partition:
+        items = items.filter(F.col(date_partition) >= cutoff)
+    recent = items.filter(F.col("created_at") >= cutoff).select(
         "order_id",
         "product_id",
         "created_at",
@@ -140,6 +151,8 @@ def sales_velocity_runner(
 
     Measures never need the orders table, so they are summed straight from the
     scan; the join for the count carries two ids and only qualifying orders.
+    The few lines that survive it are exchanged by (product, order), which
+    leaves the join free to be split where one order holds very many lines.
     """
     qualifying = orders.filter(
         (F.col("order_date") >= days_before(reference_date, lookback_days))
@@ -163,6 +176,7 @@ def sales_velocity_runner(
     counts = (
         items.select("order_id", "product_id")
         .join(qualifying, "order_id", "left_semi")
+        .repartition("product_id", "order_id")
         .groupBy("product_id")
         .agg(F.count_distinct("order_id").alias("_orders"))
     )

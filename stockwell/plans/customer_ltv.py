@@ -76,6 +76,7 @@ def customer_ltv_job(
             loadable.select(*[f.name for f in CUSTOMER_LTV.fields]),
             ["customer_id"],
             compare=LTV_COMPARE if profile == "sql" else None,
+            reject_duplicates=True,
         )
         counts = write_counted(merged, target)
         return JobResult(ltv_message(run_ts, summary, counts), summary, counts, refused)

@@ -104,6 +104,7 @@ def inventory_reorder_job(
             # The runner never rewrites the sku of a product it already has.
             update=[c for c in columns if c not in ("product_id", "sku")] if runner else None,
             cast_before_compare=cast_before_compare,
+            reject_duplicates=True,
         )
         counts = write_counted(merged, target)
         return JobResult(

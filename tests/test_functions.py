@@ -1,5 +1,6 @@
 import datetime as dt
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -92,8 +93,23 @@ def test_retention_halves_in_half_life(spark):
     assert one(spark, S.retention(F.lit(180), math.log(2) / 180))[0] == pytest.approx(0.5)
 
 
-def test_round_is_half_up_on_decimal_text(spark):
-    assert one(spark, F.round(F.lit(2.675), 2))[0] == 2.68
+def test_round_half_even_equals_python(spark):
+    rng = random.Random(3)
+    values = [2.675, 0.125, 0.375, -0.125, -2.675, 1.005, 166901.955, 110723.965, 0.0, 5e-324, 1e15, 4.5e15, 1e300,
+              -1e18, 0.005, 0.015, 0.025]
+    values += [rng.randint(-10**9, 10**9) / 1000 + 0.0005 for _ in range(3000)]
+    values += [rng.uniform(-1e6, 1e6) for _ in range(3000)]
+    values += [rng.randint(-10**8, 10**8) / 8 for _ in range(3000)]
+    values += [round(rng.uniform(0, 1e5), 2) * (1 + n * 0.02) for n in range(1, 1000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for digits in (2, 3, 4):
+        got = df.select("v", S.round_half_even(F.col("v"), digits).alias("r")).collect()
+        assert [(r["v"], r["r"]) for r in got if r["r"] != round(r["v"], digits)] == []
+
+
+def test_round_half_even_of_null_and_nan(spark):
+    row = one(spark, S.round_half_even(F.lit(None).cast("double"), 2), S.round_half_even(F.lit(float("nan")), 2))
+    assert row[0] is None and math.isnan(row[1])
 
 
 def test_timestamps(spark):

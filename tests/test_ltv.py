@@ -4,7 +4,7 @@ from decimal import Decimal
 
 import pytest
 
-from stockwell.operators.customers import customer_order_stats, order_revenue, recency_features
+from stockwell.operators.customers import by_revenue, customer_order_stats, order_revenue, recency_features
 from stockwell.operators.ltv import score_runner, score_sql
 from stockwell.plans.customer_ltv import scored_customers
 from stockwell.schemas import CUSTOMERS, ORDER_ITEMS, ORDERS
@@ -145,3 +145,9 @@ def test_frequency_score_is_capped(spark):
     )
     row = score_sql(features).first()
     assert (row["frequency_score"], row["ltv_score"]) == (1.0, 1200.0)
+
+
+def test_by_revenue_puts_unknown_first(sources):
+    got = [r["total_revenue"] for r in by_revenue(customer_order_stats(*sources, REF, "sql")).collect()]
+    known = [v for v in got if v is not None]
+    assert got[: len(got) - len(known)] == [None] * 3 and known == sorted(known, reverse=True)

@@ -180,3 +180,16 @@ def test_variance_does_not_depend_on_partitioning(spark, sources):
         for n in (1, 2, 7)
     }
     assert len(seen) == 1
+
+
+def test_date_partitions_are_pruned(spark, sources, folder):
+    _, items, orders = sources
+    path = folder("items")
+    items.withColumn("day", F.to_date("created_at")).write.partitionBy("day").parquet(path)
+    stored = spark.read.parquet(path)
+    lines = recent_completed_lines(stored, orders, REF, date_partition="day")
+    assert sorted(tuple(r) for r in daily_sales(lines).collect()) == sorted(
+        tuple(r) for r in daily_sales(recent_completed_lines(items, orders, REF)).collect()
+    )
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "day#" in plan

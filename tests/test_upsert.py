@@ -79,3 +79,24 @@ def test_newer_by_never_goes_back(spark, target):
 def test_key_types_are_taken_from_the_target(spark, target):
     text_keys = spark.createDataFrame([("1", 7.0, "t", 9)], "k string, a double, b string, ts long")
     assert (1, 7.0, "t", 9, "updated") in rows(upsert(target, text_keys, ["k"]))
+
+
+def test_duplicate_source_rows(spark, target):
+    twice = spark.createDataFrame([(1, 7.0, "t", 9), (1, 8.0, "t", 9)], SCHEMA)
+    with pytest.raises(Exception, match="several source rows match one target row"):
+        upsert(target, twice, ["k"], reject_duplicates=True).collect()
+    new_twice = spark.createDataFrame([(9, 7.0, "t", 9), (9, 8.0, "t", 9)], SCHEMA)
+    merged = upsert(target, new_twice, ["k"], reject_duplicates=True)
+    assert tuple(upsert_counts(merged).first()) == (2, 0, 2)
+
+
+def test_duplicate_check_adds_no_exchange(spark, target, source):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = [
+            upsert(target, source, ["k"], reject_duplicates=check)._jdf.queryExecution().executedPlan().toString()
+            for check in (False, True)
+        ]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plans[0].count("Exchange hashpartitioning") == plans[1].count("Exchange hashpartitioning") == 2
