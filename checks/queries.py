@@ -365,7 +365,7 @@ def sales_fact(spark, sf):
 
 
 def _audit_events(spark, sf):
-    return parse_audit_lines(t.audit_lines(spark, sf))
+    return parse_audit_lines(t.audit_lines(spark, sf), keep_malformed=True)
 
 
 def audit_stats(spark, sf):

@@ -93,7 +93,9 @@ def ordered(
     key = F.struct(F.col(value).isNull().alias("missing"), F.col(value).alias("v"))
     low, high = (F.max(key), F.min(key)) if descending else (F.min(key), F.max(key))
     wants_sum = bool(running_total or running_share)
-    total_type = T.DecimalType(38, 4) if wants_sum else T.LongType()
+    value_type = df.schema[value].dataType
+    scale = value_type.scale if isinstance(value_type, T.DecimalType) else 4
+    total_type = T.DecimalType(38, scale) if wants_sum else T.LongType()
     total = F.coalesce(F.sum(value), F.lit(0)).cast(total_type) if wants_sum else F.lit(0).cast(total_type)
     summary = sorted(
         slices.groupBy(_SLICE)
@@ -115,7 +117,7 @@ def ordered(
             T.StructField(_SLICE, T.IntegerType()),
             T.StructField("_rows_before", T.LongType()),
             T.StructField("_total_before", total_type),
-            T.StructField("_first_value", df.schema[value].dataType),
+            T.StructField("_first_value", value_type),
             T.StructField("_tie_start", T.LongType()),
         ]
     )

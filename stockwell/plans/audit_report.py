@@ -17,5 +17,5 @@ class AuditReport:
 
 
 def audit_report(spark: SparkSession, path: str) -> AuditReport:
-    events = read_audit_log(spark, path)
+    events = read_audit_log(spark, path, keep_malformed=True)
     return AuditReport(audit_stats(events), platform_breakdown(events))

@@ -35,6 +35,14 @@ def test_skips_blank_malformed_and_non_object_lines(spark):
     assert [r["platform"] for r in parsed.collect()] == ["x"]
 
 
+def test_kept_malformed_lines_count_nowhere(spark):
+    text = lines(spark, "{broken", received("x"), "\t" + json.dumps(created("a")) + "\r")
+    kept, skipped = parse_audit_lines(text, keep_malformed=True), parse_audit_lines(text)
+    assert (kept.count(), skipped.count()) == (3, 2)
+    assert audit_stats(kept).first() == audit_stats(skipped).first()
+    assert platform_breakdown(kept).collect() == platform_breakdown(skipped).collect()
+
+
 def test_absent_platform_is_unknown_and_null_is_its_own(spark):
     parsed = parse_audit_lines(
         lines(spark, received("x"), received("x"), received(), received(None), {"event_type": "event.received"})

@@ -24,7 +24,7 @@ def naive(df, descending):
         "id",
         F.row_number().over(by_row).cast("long"),
         F.percent_rank().over(by_value),
-        F.coalesce(F.sum("v").over(frame), F.lit(0)).cast("decimal(38,4)"),
+        F.coalesce(F.sum("v").over(frame), F.lit(0)).cast("decimal(38,2)"),
     )
 
 
