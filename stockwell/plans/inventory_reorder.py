@@ -32,9 +32,11 @@ def velocity_sql(
     orders: DataFrame,
     reference_date: dt.date,
     lead_time_override: float | None = None,
-    lookback_days: int = REORDER_SQL.lookback_days,
+    date_partition: str | None = None,
 ) -> DataFrame:
-    lines = recent_completed_lines(items, orders, reference_date, lookback_days)
+    lines = recent_completed_lines(
+        items, orders, reference_date, REORDER_SQL.lookback_days, date_partition
+    )
     return sales_velocity(daily_sales(lines), reference_date, lead_time_override=lead_time_override)
 
 
@@ -49,13 +51,14 @@ def reorder_rows(
     lookback_days: int = 90,
     on_zero: str = "error",
     stock: DataFrame | None = None,
+    date_partition: str | None = None,
 ) -> DataFrame:
     """The stage rows that a job summarises and merges."""
     if profile == "runner":
         velocity = sales_velocity_runner(products, items, orders, reference_date, lookback_days)
         metrics = reorder_metrics_runner(velocity, lookback_days, lead_time_override, on_zero)
         return reorder_plan_runner(metrics, run_ts)
-    velocity = velocity_sql(items, orders, reference_date, lead_time_override)
+    velocity = velocity_sql(items, orders, reference_date, lead_time_override, date_partition)
     return reorder_stage(reorder_metrics_sql(products, velocity, on_zero, stock=stock), run_ts)
 
 
@@ -73,8 +76,13 @@ def inventory_reorder_job(
     on_null: str = "error",
     stock: DataFrame | None = None,
     cast_before_compare: bool = False,
+    date_partition: str | None = None,
 ) -> JobResult:
-    """Plan every product and merge the result into ``target``."""
+    """Plan every product and merge the result into ``target``.
+
+    ``stock`` replaces the stock proxy and ``date_partition`` names the column
+    by which order lines are stored per day (both sql profile only).
+    """
     reference_date = reference_date or dt.date.today()
     run_ts = run_ts or dt.datetime.now(dt.UTC).replace(tzinfo=None)
     stage = reorder_rows(
@@ -88,6 +96,7 @@ def inventory_reorder_job(
         lookback_days,
         on_zero,
         stock,
+        date_partition,
     ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         summary = reorder_summary(stage).first().asDict()

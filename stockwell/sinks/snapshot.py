@@ -17,10 +17,13 @@ _PREFIX = "version="
 
 
 class SnapshotTable:
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keep: int | None = None):
+        """``keep`` deletes all but that many newest versions after a write; at
+        least two, so that readers of the previous one can finish."""
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
+        self.keep = None if keep is None else max(keep, 2)
 
     def _folder(self, version: int) -> str:
         return f"{self.path}/{_PREFIX}{version:09d}"
@@ -34,29 +37,30 @@ class SnapshotTable:
                     found.append(version)
         return found
 
-    def read(self, before: int | None = None) -> DataFrame:
-        """The newest version, or the newest below ``before``; empty if none."""
-        found = [v for v in self.versions() if before is None or v < before]
+    def read(self) -> DataFrame:
+        """The newest version; empty if there is none."""
+        found = self.versions()
         if not found:
             return self.spark.createDataFrame([], self.schema)
         return conform(self.spark.read.parquet(self._folder(found[-1])), self.schema)
 
-    def write(self, df: DataFrame, version: int | None = None) -> int:
-        """Write ``df`` as a new version. Writing a version again replaces it.
+    def write(self, df: DataFrame) -> int:
+        """Write ``df`` as the next version and return its number.
 
         A NULL in a NOT NULL column fails the write.
         """
-        if version is None:
-            found = self.versions()
-            version = found[-1] + 1 if found else 1
+        found = self.versions()
+        version = found[-1] + 1 if found else 0
         rows = required_not_null(conform(df, self.schema), self.schema)
         rows.write.mode("overwrite").parquet(self._folder(version))
+        if self.keep:
+            self.vacuum(self.keep)
         return version
 
     def ensure(self) -> "SnapshotTable":
         """Create an empty first version unless the table exists."""
         if not self.versions():
-            self.write(self.spark.createDataFrame([], self.schema), version=0)
+            self.write(self.spark.createDataFrame([], self.schema))
         return self
 
     def vacuum(self, keep: int = 2) -> None:

@@ -113,15 +113,13 @@ def curate_merge(
 ) -> None:
     """Keep one CURATED row per id, the one with the newest event_ts.
 
-    Batch ``n`` merges into the newest version below ``n + 1`` and writes
-    version ``n + 1``, so replaying a batch rewrites the same version. A row
-    older than the stored one does not replace it.
+    A row not newer than the stored one does not replace it, so a batch that is
+    replayed, or a whole stream started over, changes nothing.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        target = curated.read(before=batch_id + 1)
-        merged = upsert(target, latest_per_id(batch), ["id"], newer_by="event_ts")
-        curated.write(merged.drop(ACTION), version=batch_id + 1)
+        merged = upsert(curated.read(), latest_per_id(batch), ["id"], newer_by="event_ts")
+        curated.write(merged.drop(ACTION))
 
     _finish(
         raw_stream(spark, raw, max_files=max_files)
