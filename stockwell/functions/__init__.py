@@ -1,5 +1,6 @@
 """Column expressions. Everything here stays inside JVM code generation."""
 
+from stockwell.functions.casts import cast_errors
 from stockwell.functions.dates import (
     day_gap,
     days_before,
@@ -20,6 +21,7 @@ from stockwell.functions.numbers import (
 
 __all__ = [
     "abc_class",
+    "cast_errors",
     "day_gap",
     "days_before",
     "divide",

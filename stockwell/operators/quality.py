@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockwell.functions import run_timestamp
+from stockwell.functions import cast_errors, run_timestamp
 
 ERRORS = "_errors"
 
@@ -18,12 +18,10 @@ def safe_cast(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
 
     Columns left out of ``types`` pass through. A value that fails is NULL.
     """
-    failed = [
-        F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(), F.lit(c)) for c, t in types.items()
-    ]
+    errors = cast_errors({c: F.col(c) for c in types}, types)
     return df.select(
         *[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns],
-        F.array_compact(F.array(*failed)).alias(ERRORS),
+        errors.alias(ERRORS),
     )
 
 
@@ -31,17 +29,7 @@ def split_cast(df: DataFrame, types: Mapping[str, str]) -> tuple[DataFrame, Data
     """(rows cast to ``types``, original rows that would not cast with errors)."""
     cast = safe_cast(df, types)
     good = cast.filter(F.size(ERRORS) == 0).drop(ERRORS)
-    marked = df.withColumn(
-        ERRORS,
-        F.array_compact(
-            F.array(
-                *[
-                    F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(), F.lit(c))
-                    for c, t in types.items()
-                ]
-            )
-        ),
-    )
+    marked = df.withColumn(ERRORS, cast_errors({c: F.col(c) for c in types}, types))
     return good, marked.filter(F.size(ERRORS) > 0)
 
 

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stockwell.functions import cast_errors
+
 ERRORS = "_errors"
 LINE = "_line"
 FILE = "_file"
@@ -57,24 +59,16 @@ def read_csv(
     where = path if isinstance(path, str) or streaming else list(path)
     raw = _reader(spark, streaming).schema(text).options(**settings).csv(where)
     names = [f.name for f in schema.fields]
-    cast_errors = F.array_compact(
-        F.array(
-            *[
-                F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), F.lit(f.name))
-                for f in schema.fields
-            ]
-        )
-    )
+    errors = cast_errors({n: F.col(n) for n in names}, {f.name: f.dataType for f in schema.fields})
     as_read = F.concat_ws(delimiter, *[F.coalesce(F.col(n), F.lit("")) for n in names])
-    flagged = raw.select(
+    return raw.select(
         *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields],
         F.when(F.col(_CORRUPT).isNotNull(), F.array(F.lit("field_count")))
-        .otherwise(cast_errors)
+        .otherwise(errors)
         .alias(ERRORS),
         F.coalesce(_CORRUPT, as_read).alias(LINE),
         _file_uri().alias(FILE),
     )
-    return flagged
 
 
 def read_json(
@@ -97,21 +91,13 @@ def read_json(
         .filter(F.trim("value") != "")
         .select(parsed.alias("r"), "value", _file_uri().alias(FILE))
     )
-    cast_errors = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    F.col(f"r.{f.name}").isNotNull() & F.col(f"r.{f.name}").try_cast(f.dataType).isNull(),
-                    F.lit(f.name),
-                )
-                for f in schema.fields
-            ]
-        )
+    errors = cast_errors(
+        {n: F.col(f"r.{n}") for n in names}, {f.name: f.dataType for f in schema.fields}
     )
     broken = F.col("r").isNull() | F.col(f"r.{_CORRUPT}").isNotNull()
     return raw.select(
         *[F.col(f"r.{f.name}").try_cast(f.dataType).alias(f.name) for f in schema.fields],
-        F.when(broken, F.array(F.lit("malformed"))).otherwise(cast_errors).alias(ERRORS),
+        F.when(broken, F.array(F.lit("malformed"))).otherwise(errors).alias(ERRORS),
         F.col("value").alias(LINE),
         FILE,
     )
