@@ -16,6 +16,11 @@ from pyspark.sql import functions as F
 _CHUNK = 256
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used inside."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _appended_sums(values: Column) -> Column:
     """Sums of all values before each one, for a short array."""
     start = F.struct(F.lit(0).cast("long").alias("sum"), F.array().cast("array<bigint>").alias("seen"))
@@ -29,20 +34,21 @@ def _appended_sums(values: Column) -> Column:
 
 def sums_before(values: Column) -> Column:
     """For each value of a ``array<bigint>`` the sum of the values before it."""
-    chunks = F.transform(
-        F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(values) - 1) / _CHUNK).cast("int"))),
-        lambda i: F.slice(values, i * _CHUNK + 1, F.lit(_CHUNK)),
-    )
-    totals = F.transform(
-        chunks, lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda acc, v: acc + v)
-    )
-    return F.flatten(
-        F.zip_with(
-            chunks,
-            _appended_sums(totals),
-            lambda c, before: F.transform(_appended_sums(c), lambda s: s + before),
+    def chunked(v):
+        count = F.greatest(F.lit(0), F.floor((F.size(v) - 1) / _CHUNK).cast("int"))
+        return F.transform(F.sequence(F.lit(0), count), lambda i: F.slice(v, i * _CHUNK + 1, F.lit(_CHUNK)))
+
+    def placed(chunks):
+        totals = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda acc, v: acc + v))
+        return F.flatten(
+            F.zip_with(
+                chunks,
+                _appended_sums(totals),
+                lambda c, before: F.transform(_appended_sums(c), lambda s: s + before),
+            )
         )
-    )
+
+    return let(let(values, chunked), placed)
 
 
 def match_spans(
@@ -56,16 +62,24 @@ def match_spans(
     Lengths are code points unless other measures are given. The pattern must
     not match empty text.
     """
-    found = F.regexp_extract_all(text, pattern, F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    n = F.size(found)
-    matched = F.transform(found, lambda m: length_of_match(m).cast("long"))
-    between = F.transform(F.slice(gaps, F.lit(1), n), lambda g: length_of_gap(g).cast("long"))
-    starts = F.zip_with(
-        sums_before(F.zip_with(between, matched, lambda g, m: g + m)), between, lambda s, g: s + g
-    )
-    return F.zip_with(
-        F.zip_with(starts, matched, lambda s, m: F.struct(s.alias("start"), (s + m).alias("end"))),
-        found,
-        lambda p, m: F.struct(p["start"].alias("start"), p["end"].alias("end"), m.alias("match")),
-    )
+    def placed(found):
+        gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
+        lengths = F.zip_with(
+            gaps,
+            found,
+            lambda g, m: F.struct(
+                length_of_gap(g).cast("long").alias("gap"), length_of_match(m).cast("long").alias("own"), m.alias("match")
+            ),
+        )
+        return let(lengths, spanned)
+
+    def spanned(lengths):
+        return F.zip_with(
+            sums_before(F.transform(lengths, lambda x: x["gap"] + x["own"])),
+            lengths,
+            lambda before, x: F.struct(
+                (before + x["gap"]).alias("start"), (before + x["gap"] + x["own"]).alias("end"), x["match"].alias("match")
+            ),
+        )
+
+    return let(F.regexp_extract_all(text, pattern, F.lit(0)), placed)

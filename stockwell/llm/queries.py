@@ -2,10 +2,23 @@
 
 from __future__ import annotations
 
-from stockwell.llm import exact_dedup, language_id, mixing, near_dedup, packing
+from stockwell.llm import exact_dedup, language_id, licenses, mixing, near_dedup, packing, secrets, urls
 from stockwell.llm.common import table
 
 
+def op1_license_scan(spark, sf_dir):
+    return licenses.license_digest(licenses.scan_licenses(table(spark, sf_dir, "documents")))
+
+
+def op2_secret_scan(spark, sf_dir):
+    scanned, _ = secrets.scan_secrets(table(spark, sf_dir, "documents"))
+    return secrets.secret_digest(scanned)
+
+
+def op3_url_filter(spark, sf_dir):
+    return urls.filter_urls(table(spark, sf_dir, "pages"))
+
+
 def op5_language_id(spark, sf_dir):
     return language_id.identify_languages(table(spark, sf_dir, "documents"))
 
@@ -29,6 +42,9 @@ def op9_packing(spark, sf_dir):
 
 def llm_queries():
     return {
+        "op1_license_scan": op1_license_scan,
+        "op2_secret_scan": op2_secret_scan,
+        "op3_url_filter": op3_url_filter,
         "op5_language_id": op5_language_id,
         "op6_exact_dedup": op6_exact_dedup,
         "op7_near_dedup": op7_near_dedup,
