@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from stockwell.llm.common import whole_text
 from stockwell.llm.license_rules import ANCHORS, RULES, Rule
-from stockwell.llm.native import match_spans
+from stockwell.llm.native import let
 
 _DETECTION = "struct<start:bigint,end:bigint,priority:int,rule:int>"
 
@@ -32,15 +32,30 @@ def _spaces(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
 
 
+def _word_spans(words: Column, pattern: Column) -> Column:
+    """``start, end`` of matches in words: marks, which no word holds, are set around each."""
+    marked = F.regexp_replace(words, pattern, F.lit("\x01$0\x02"))
+
+    def spans(marks):
+        starts = F.filter(F.transform(marks, lambda w, i: F.when(F.startswith(w, F.lit("\x01")), i)), F.isnotnull)
+        ends = F.filter(F.transform(marks, lambda w, i: F.when(F.endswith(w, F.lit("\x02")), i + 1)), F.isnotnull)
+        return F.zip_with(
+            starts, ends, lambda s, e: F.struct(s.cast("bigint").alias("start"), e.cast("bigint").alias("end"))
+        )
+
+    return let(F.split(F.trim(marked), " "), spans)
+
+
+def _literal(values: list[str]) -> Column:
+    """An array built from SQL literals in one call; the optimizer folds it to a constant."""
+    return F.expr(f"array({', '.join(values)})")
+
+
 def _rule_table(rules: list[Rule]) -> Column:
-    return F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("rule"),
-                F.array(*map(F.lit, r.keywords)).alias("keywords"),
-                F.lit(f"(?<= )(?:{r.pattern})(?= )").alias("pattern"),
-                F.lit(r.priority).alias("priority"),
-            )
+    return _literal(
+        [
+            f"named_struct('rule', {i}, 'keywords', array({', '.join(f"'{k}'" for k in r.keywords)}), "
+            f"'pattern', r'(?<= )(?:{r.pattern})(?= )', 'priority', {r.priority})"
             for i, r in enumerate(rules)
         ]
     )
@@ -52,12 +67,11 @@ def _found(words: Column, rules: list[Rule]) -> Column:
         _rule_table(rules),
         lambda r: F.exists(r["keywords"], lambda k: F.contains(words, k)) & F.regexp_like(words, r["pattern"]),
     )
-    # A gap holds a space more than words; a match holds one less.
     spans = F.flatten(
         F.transform(
             tried,
             lambda r: F.transform(
-                match_spans(words, r["pattern"], lambda g: _spaces(g) - 1, lambda m: _spaces(m) + 1),
+                _word_spans(words, r["pattern"]),
                 lambda s: F.struct(
                     s["start"].alias("start"),
                     (-s["end"]).alias("last"),
@@ -125,9 +139,9 @@ def scan_licenses(
 
 def license_digest(scanned: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
     """Counts, places, labels and the best certainty of each text's detections."""
-    labels = F.array(*[F.lit(r.label) for r in rules])
-    scores = F.array(*[F.lit(r.score) for r in rules])
-    bases = F.array(*[F.lit(i) for i, r in enumerate(rules) if r.base])
+    labels = _literal([f"'{r.label}'" for r in rules])
+    scores = _literal([f"{r.score}D" for r in rules])
+    bases = _literal([str(i) for i, r in enumerate(rules) if r.base])
     base = F.filter("found", lambda d: F.array_contains(bases, d["rule"]))
     starts = F.transform(base, lambda d: d["start"])
 
