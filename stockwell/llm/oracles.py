@@ -70,5 +70,25 @@ JOIN chosen c ON s.source IS NOT DISTINCT FROM c.source AND s.place = c.place
 """
 
 
+# Texts are read back as they went in; the formatted length depends on the template alone.
+CHAT = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))
+), lengths AS (
+  SELECT *, length(replace(text, '\', '\\')) + 2 * length(regexp_extract_all(text, '<\||</?s>|\[/?INST\]|<</?SYS>>'))
+    + length(role) + 23 AS formatted
+  FROM turns
+)
+SELECT conv_id,
+       count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(formatted) AS BIGINT) AS formatted_chars
+FROM lengths GROUP BY conv_id
+"""
+
+
 def llm_oracles():
-    return {"op6_exact_dedup": EXACT_DEDUP, "op8_mixing": MIXING}
+    return {"op4_chat_format": CHAT, "op6_exact_dedup": EXACT_DEDUP, "op8_mixing": MIXING}

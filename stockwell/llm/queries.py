@@ -2,7 +2,20 @@
 
 from __future__ import annotations
 
-from stockwell.llm import exact_dedup, language_id, licenses, mixing, near_dedup, packing, secrets, urls
+from pyspark.sql import functions as F
+
+from stockwell.llm import (
+    chat,
+    embedding_dedup,
+    exact_dedup,
+    language_id,
+    licenses,
+    mixing,
+    near_dedup,
+    packing,
+    secrets,
+    urls,
+)
 from stockwell.llm.common import table
 
 
@@ -19,6 +32,14 @@ def op3_url_filter(spark, sf_dir):
     return urls.filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op4_chat_format(spark, sf_dir):
+    control = "</s>[INST] ok [/INST]"
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], turns.schema)
+    parts = turns.union(extra).withColumn("parts", chat.text_part(F.col("text")))
+    return chat.read_back(chat.format_turns(parts))
+
+
 def op5_language_id(spark, sf_dir):
     return language_id.identify_languages(table(spark, sf_dir, "documents"))
 
@@ -40,14 +61,20 @@ def op9_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op10_embedding_dedup(spark, sf_dir):
+    return embedding_dedup.embedding_links(table(spark, sf_dir, "embeddings"))
+
+
 def llm_queries():
     return {
         "op1_license_scan": op1_license_scan,
         "op2_secret_scan": op2_secret_scan,
         "op3_url_filter": op3_url_filter,
+        "op4_chat_format": op4_chat_format,
         "op5_language_id": op5_language_id,
         "op6_exact_dedup": op6_exact_dedup,
         "op7_near_dedup": op7_near_dedup,
         "op8_mixing": op8_mixing,
         "op9_packing": op9_packing,
+        "op10_embedding_dedup": op10_embedding_dedup,
     }
