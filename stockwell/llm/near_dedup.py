@@ -5,7 +5,7 @@
    here on, so copies cost nothing further.
 2. Classes that share a band key are candidates. A bucket is never expanded into
    all its pairs: first every member is compared with the bucket's leader, drawn
-   by a hash and so another one in each bucket, best candidates first.
+   by a hash and so another one in each bucket.
 3. A pair's registers and set sizes give its likeliest similarity; pairs six
    deviations below the threshold are set aside. All others are verified on
    their full shingle sets, which are fetched for candidates only.
@@ -177,15 +177,6 @@ def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
     return stream.mapInArrow(compare, "a long, b long")
 
 
-def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs whose ends are not yet in one component."""
-    end = labels.select(F.col("vertex").alias("a"), F.col("component").alias("c_a"))
-    other = labels.select(F.col("vertex").alias("b"), F.col("component").alias("c_b"))
-    joined = pairs.join(end, "a", "left").join(other, "b", "left")
-    apart = F.coalesce("c_a", "a") != F.coalesce("c_b", "b")
-    return joined.where(apart).select(pairs.columns)
-
-
 def near_duplicates(
     docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -211,16 +202,8 @@ def near_duplicates(
     )
     members = written(_bucket_members(classes), "members")
 
-    # Leaders first: the likeliest candidate of every class, then what is still apart.
-    led = written(_estimated(_pairs(members, "id", "leader", "n", "leader_n", percent), classes, percent), "led")
-    both = led.union(led.select(F.col("b").alias("a"), F.col("a").alias("b"), "likely"))
-    best = both.groupBy("a").agg(F.max(F.struct("likely", (-F.col("b")).alias("b"))).alias("best"))
-    best = best.select(F.least("a", -F.col("best.b")).alias("a"), F.greatest("a", -F.col("best.b")).alias("b")).distinct()
-    best = written(best, "best")
-    links = written(_verified(best, texts, width, percent), "links")
-    labels = components(links)
-    rest = _across(led.join(best, ["a", "b"], "left_anti").select("a", "b"), labels)
-    links = written(links.union(_verified(rest, texts, width, percent)), "links")
+    led = _estimated(_pairs(members, "id", "leader", "n", "leader_n", percent), classes, percent)
+    links = written(_verified(led, texts, width, percent), "links")
     labels = components(links)
 
     # Then pairs of crowded buckets whose members are still apart.
