@@ -92,7 +92,7 @@ def format_turns(turns: DataFrame, parts_col: str = "parts") -> DataFrame:
 def read_back(segments: DataFrame) -> DataFrame:
     """One row per conversation, parsed from its formatted output.
 
-    Segments stream in order of turn, then role and text (nulls first), each through
+    Segments stream in order of turn, then role and segment (nulls first), each through
     running digests: a task holds one batch, however long a conversation is. A null
     ``conv_id`` is one conversation. Repeated rows are turns of their own.
     """

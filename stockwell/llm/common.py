@@ -31,14 +31,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def without_ids(docs: DataFrame, removed: DataFrame, key: str = "doc_id") -> DataFrame:
+def without_ids(docs: DataFrame, removed: DataFrame, key: str = "doc_id", nulls: bool = False) -> DataFrame:
     """The rows of ``docs`` whose key is not in ``removed`` (one column of that name).
 
     The ids are the built side of a hash join, so texts are shuffled but not
-    sorted. Rows with a null key stay.
+    sorted. Rows with a null key stay, unless ``nulls`` lets a null be removed too.
     """
-    ids = removed.select(key).distinct().hint("shuffle_hash")
-    return docs.join(ids, key, "left_anti").select(*docs.columns)
+    ids = removed.select(F.col(key).alias("_removed")).distinct().hint("shuffle_hash")
+    same = docs[key].eqNullSafe(ids["_removed"]) if nulls else docs[key] == ids["_removed"]
+    return docs.join(ids, same, "left_anti").select(*docs.columns)
 
 
 def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:

@@ -92,11 +92,11 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     kept = decided.where("kept").select(F.col("doc_id").alias(id_col))
     repeated = dropped.join(kept, dropped[id_col].eqNullSafe(kept[id_col]), "left_semi").distinct()
     if repeated.isEmpty():
-        return without_ids(docs, dropped, id_col)
+        return without_ids(docs, dropped, id_col, nulls=True)
     # An id with both a kept and a dropped row repeats itself; keep one row of each text.
     again = repeated.withColumn("_again", F.lit(True)).withColumnRenamed(id_col, "_id")
     marked = docs.join(again, docs[id_col].eqNullSafe(again["_id"]), "left")
-    once = without_ids(marked.where(F.col("_again").isNull()).select(*docs.columns), dropped, id_col)
+    once = without_ids(marked.where(F.col("_again").isNull()).select(*docs.columns), dropped, id_col, nulls=True)
     normal = F.sha2(F.regexp_replace(whole_text(text_col), SPACE, " "), 256)
     winners = decided.where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_digest"))
     twice = marked.where(F.col("_again")).drop("_again", "_id").withColumn("_digest", normal).dropDuplicates([id_col, "_digest"])
