@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,8 +36,10 @@ def split_cast(df: DataFrame, types: Mapping[str, str]) -> tuple[DataFrame, Data
 
 
 def missing_rows(expected: DataFrame, actual: DataFrame, keys) -> DataFrame:
-    """Rows of ``expected`` whose key never reached ``actual``."""
-    return expected.join(actual.select(*keys).distinct(), list(keys), "left_anti")
+    """Rows of ``expected`` whose key never reached ``actual``; a NULL key is a key like any other."""
+    seen = actual.select(*[F.col(k).alias(f"_seen_{k}") for k in keys]).distinct()
+    same = [expected[k].eqNullSafe(seen[f"_seen_{k}"]) for k in keys]
+    return expected.join(seen, reduce(lambda a, b: a & b, same), "left_anti")
 
 
 def skipped_updates(raw: DataFrame, curated: DataFrame) -> DataFrame:
@@ -50,15 +54,16 @@ def skipped_updates(raw: DataFrame, curated: DataFrame) -> DataFrame:
 def canary(expected: DataFrame, actual: DataFrame, keys) -> DataFrame:
     """One row: rows expected, rows arrived, keys missing."""
     key_list = list(keys)
-    left = expected.groupBy(*key_list).agg(F.count(F.lit(1)).alias("_expected"))
-    right = actual.groupBy(*key_list).agg(F.count(F.lit(1)).alias("_actual"))
-    return (
-        left.join(right, key_list, "full_outer")
-        .agg(
-            F.coalesce(F.sum("_expected"), F.lit(0)).alias("expected_rows"),
-            F.coalesce(F.sum("_actual"), F.lit(0)).alias("actual_rows"),
-            F.count_if(F.col("_actual").isNull()).alias("missing_keys"),
-        )
+    sent = expected.select(*key_list, F.lit(1).alias("_expected"), F.lit(0).alias("_actual"))
+    arrived = actual.select(*key_list, F.lit(0).alias("_expected"), F.lit(1).alias("_actual"))
+    # Grouping puts NULL keys together, which a join would not.
+    by_key = sent.union(arrived).groupBy(*key_list).agg(
+        F.sum("_expected").alias("_expected"), F.sum("_actual").alias("_actual")
+    )
+    return by_key.agg(
+        F.coalesce(F.sum("_expected"), F.lit(0)).alias("expected_rows"),
+        F.coalesce(F.sum("_actual"), F.lit(0)).alias("actual_rows"),
+        F.count_if(F.col("_actual") == 0).alias("missing_keys"),
     )
 
 

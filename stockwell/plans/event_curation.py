@@ -11,7 +11,7 @@ from stockwell.operators.quality import freshness
 from stockwell.schemas import EVENTS, conform
 from stockwell.sinks.writers import append
 from stockwell.sources.tables import scan
-from stockwell.streaming.ingest import curate_append
+from stockwell.streaming.ingest import curate_append, loaded
 
 
 def curate_columns(raw: DataFrame, schema: T.StructType = EVENTS) -> DataFrame:
@@ -19,8 +19,8 @@ def curate_columns(raw: DataFrame, schema: T.StructType = EVENTS) -> DataFrame:
 
 
 def curate_full_append(spark: SparkSession, raw: str, curated: str) -> str:
-    """Append all of RAW to CURATED. Each call appends all rows again."""
-    append(curate_columns(scan(spark, raw)), curated)
+    """Append all loaded rows of RAW to CURATED. Each call appends all rows again."""
+    append(curate_columns(loaded(scan(spark, raw))), curated)
     return "ok"
 
 
@@ -38,7 +38,7 @@ def guarded_curate_append(
     max_age_seconds: int,
 ) -> bool:
     """Append new rows unless RAW is stale at ``reference``; False if skipped."""
-    state = freshness(scan(spark, raw), reference, max_age_seconds).first()
+    state = freshness(loaded(scan(spark, raw)), reference, max_age_seconds).first()
     if state["is_stale"]:
         return False
     curate_append(spark, raw, curated, checkpoint)

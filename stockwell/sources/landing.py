@@ -21,9 +21,12 @@ FILE = "_file"
 _CORRUPT = "_corrupt"
 CANDIDATE_DELIMITERS = (",", ";", "|", "\t")
 
+#: Streams take files however much older they are than the newest one; Spark's own limit is a week.
+MAX_FILE_AGE = "36500d"
+
 
 def _reader(spark: SparkSession, streaming: bool):
-    return spark.readStream if streaming else spark.read
+    return spark.readStream.option("maxFileAge", MAX_FILE_AGE) if streaming else spark.read
 
 
 def _file_uri():

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from stockwell.operators.upsert import ACTION, upsert
 from stockwell.schemas import EVENTS, conform
 from stockwell.sinks.snapshot import SnapshotTable
-from stockwell.sources.landing import ERRORS, FILE, LINE, read_csv, read_json
+from stockwell.sources.landing import ERRORS, FILE, LINE, MAX_FILE_AGE, read_csv, read_json
 
 OUTCOME = "outcome"
 _LOADED, _QUARANTINED = "loaded", "quarantined"
@@ -64,8 +64,13 @@ def load_landing(
     )
 
 
+def loaded(rows: DataFrame) -> DataFrame:
+    """Rows of RAW without the quarantine, if RAW keeps one."""
+    return rows.filter(F.col(OUTCOME) == _LOADED) if OUTCOME in rows.columns else rows
+
+
 def raw_rows(spark: SparkSession, raw: str, schema: T.StructType = EVENTS) -> DataFrame:
-    return conform(spark.read.parquet(raw).filter(F.col(OUTCOME) == _LOADED), schema)
+    return conform(loaded(spark.read.parquet(raw)), schema)
 
 
 def quarantine_rows(spark: SparkSession, raw: str) -> DataFrame:
@@ -77,7 +82,7 @@ def raw_stream(
 ) -> DataFrame:
     """Rows newly added to a RAW folder, without the quarantine."""
     stored = T.StructType(list(schema.fields) + [T.StructField(OUTCOME, T.StringType())])
-    reader = spark.readStream.schema(stored)
+    reader = spark.readStream.schema(stored).option("maxFileAge", MAX_FILE_AGE)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     rows = reader.parquet(raw).filter(F.coalesce(OUTCOME, F.lit(_LOADED)) == _LOADED)

@@ -59,3 +59,9 @@ def test_freshness(spark):
     assert (fresh["age_seconds"], fresh["is_stale"]) == (60, False)
     assert quality.freshness(events(spark, (1, 1)), at(3), 60).first()["is_stale"]
     assert quality.freshness(events(spark), at(3), 60).first()["is_stale"]
+
+
+def test_arrived_null_keys_are_not_missing(spark):
+    rows = spark.createDataFrame([(1,), (None,)], "id long")
+    assert quality.missing_rows(rows, rows, ["id"]).count() == 0
+    assert tuple(quality.canary(rows, rows, ["id"]).first()) == (2, 2, 0)

@@ -1,4 +1,6 @@
 import datetime as dt
+import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -85,3 +87,25 @@ def test_guard_skips_a_stale_stream(spark, folder):
     assert not guarded_curate_append(spark, raw, curated, state, at(30), max_age_seconds=60)
     assert guarded_curate_append(spark, raw, curated, state, at(2), max_age_seconds=60)
     assert rows(spark.read.parquet(curated)) == [(1, at(1))]
+
+
+def test_old_files_and_quarantine(spark, folder):
+    """A file much older than the newest one is loaded; quarantined rows stay out of CURATED."""
+    landing, raw = folder("landing"), folder("raw")
+    os.makedirs(landing)
+
+    def deliver(name, body, age_days=0):
+        path = f"{landing}/{name}"
+        with open(path, "w") as file:
+            file.write("id,event_ts\n" + body)
+        then = time.time() - age_days * 86_400
+        os.utime(path, (then, then))
+
+    deliver("a.csv", "1,2001-01-01 00:00:00\n")
+    ingest.load_landing(spark, landing, raw, folder("c"))
+    deliver("b.csv", "2,2001-01-02 00:00:00\nx,2001-01-03 00:00:00\n", age_days=90)
+    deliver("c.csv", "3,2001-01-04 00:00:00\n")
+    ingest.load_landing(spark, landing, raw, folder("c"))
+    assert sorted(r["id"] for r in ingest.raw_rows(spark, raw).collect()) == [1, 2, 3]
+    curate_full_append(spark, raw, folder("curated"))
+    assert sorted(r["id"] for r in spark.read.parquet(folder("curated")).collect()) == [1, 2, 3]
