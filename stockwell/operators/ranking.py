@@ -11,7 +11,7 @@ local windows over each slice into global positions and running totals.
 from __future__ import annotations
 
 import math
-from decimal import Decimal
+from decimal import Decimal, localcontext
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -106,12 +106,14 @@ def ordered(
     starts = _tie_starts(slices, value, summary) if percent_rank else [None] * len(summary)
 
     rows = sum(r["n"] for r in summary)
-    grand_total = sum((r["total"] for r in summary), Decimal(0) if wants_sum else 0)
-    offsets, seen, summed = [], 0, Decimal(0) if wants_sum else 0
-    for r, start in zip(summary, starts):
-        offsets.append((r[_SLICE], seen, summed, r["low"]["v"], start))
-        seen += r["n"]
-        summed += r["total"]
+    # The columns hold 38 digits, Decimal's default context only 28.
+    with localcontext(prec=38):
+        grand_total = sum((r["total"] for r in summary), Decimal(0) if wants_sum else 0)
+        offsets, seen, summed = [], 0, Decimal(0) if wants_sum else 0
+        for r, start in zip(summary, starts):
+            offsets.append((r[_SLICE], seen, summed, r["low"]["v"], start))
+            seen += r["n"]
+            summed += r["total"]
     schema = T.StructType(
         [
             T.StructField(_SLICE, T.IntegerType()),

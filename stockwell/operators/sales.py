@@ -6,19 +6,23 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stockwell.functions import revenue_tier
-from stockwell.params import SALES_REQUIRED, SALES_VERSION
+from stockwell.params import SALES_VERSION
+from stockwell.schemas import SALES_STAGING
 
 
 def lower_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.lower() for c in df.columns])
 
 
-def require_columns(df: DataFrame, columns=SALES_REQUIRED) -> DataFrame:
-    missing = [c for c in columns if c not in df.columns]
-    if missing:
-        raise ValueError(f"missing required columns: {missing}")
+def require_columns(df: DataFrame, contract: T.StructType = SALES_STAGING) -> DataFrame:
+    """``df`` itself, or an error that names every absent column with its type."""
+    absent = set(contract.names) - set(df.columns)
+    if absent:
+        listed = ", ".join(f"{name} {contract[name].dataType.simpleString()}" for name in sorted(absent))
+        raise ValueError(f"staging orders lack {listed}")
     return df
 
 
@@ -37,7 +41,7 @@ def clean_orders(
     require_columns(df)
     if before is not None:
         df = df.observe(before, F.count(F.lit(1)).alias("rows"))
-    kept = df.dropna(subset=list(SALES_REQUIRED))
+    kept = df.dropna(subset=SALES_STAGING.names)
     if after is not None:
         kept = kept.observe(after, F.count(F.lit(1)).alias("rows"))
     return kept
@@ -59,7 +63,7 @@ def validation_counts(staging: DataFrame) -> DataFrame:
     df = require_columns(lower_names(staging))
     numeric = {f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}
     complete = F.lit(True)
-    for name in SALES_REQUIRED:
+    for name in SALES_STAGING.names:
         complete = complete & F.col(name).isNotNull()
         if name in numeric:
             complete = complete & ~F.isnan(name)

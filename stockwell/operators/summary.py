@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,38 +29,7 @@ def reorder_summary(stage: DataFrame) -> DataFrame:
     return stage.agg(F.count(F.lit(1)).alias("product_count"), *classes)
 
 
-def _merge_text(counts: dict) -> str:
-    return (
-        f"rows_merged={counts['rows_merged']} "
-        f"(inserted={counts['rows_inserted']}, updated={counts['rows_updated']})"
-    )
-
-
-def ltv_message(run_ts: dt.datetime, summary: dict, counts: dict) -> str:
-    tiers = " ".join(f"{t}={summary[f'{t.lower()}_count']}" for t in TIER_LABELS)
-    return " | ".join(
-        [
-            f"customer_ltv completed at {run_ts}",
-            f"customers_processed={summary['customer_count']}",
-            _merge_text(counts),
-            f"tier_breakdown: {tiers}",
-            f"avg_ltv={summary['avg_ltv']:.2f}",
-            f"total_portfolio_revenue={summary['total_revenue']:.2f}",
-        ]
-    )
-
-
-def reorder_message(
-    run_ts: dt.datetime, summary: dict, counts: dict, lead_time_override: float | None = None
-) -> str:
-    override = "NULL (dynamic)" if lead_time_override is None else str(lead_time_override)
-    classes = " ".join(f"{c}={summary[f'abc_{c.lower()}_count']}" for c in ABC_LABELS)
-    return " | ".join(
-        [
-            f"inventory_reorder completed at {run_ts}",
-            f"lead_time_override={override}",
-            f"products_processed={summary['product_count']}",
-            _merge_text(counts),
-            f"abc_breakdown: {classes}",
-        ]
-    )
+def run_text(job: str, run_ts: dt.datetime, *facts: dict) -> str:
+    """One log line on a run: its job, its time, and all facts as JSON under their own names."""
+    named = {name: value for group in facts for name, value in group.items()}
+    return f"{job} {run_ts.isoformat()} {json.dumps(named, default=str)}"

@@ -18,7 +18,6 @@ ABC_LOWEST_CLASS = "C"
 REVENUE_TIERS = (("low", 100.0), ("medium", 1000.0))
 REVENUE_TOP_TIER = "high"
 SALES_VERSION = "1.4.2"
-SALES_REQUIRED = ("order_id", "customer_id", "order_date", "total_amount")
 # End of fixed values ----------------------------------------------------
 
 

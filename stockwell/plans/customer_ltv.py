@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Observation
 from stockwell.functions import run_timestamp
 from stockwell.operators.customers import customer_order_stats, recency_features
 from stockwell.operators.ltv import ltv_stage, score_runner, score_sql
-from stockwell.operators.summary import ltv_message, ltv_summary
+from stockwell.operators.summary import ltv_summary, run_text
 from stockwell.operators.upsert import ACTION, LTV_COMPARE, action_counts, upsert
 from stockwell.schemas import CUSTOMER_LTV, split_on_nulls
 from stockwell.sinks.snapshot import SnapshotTable
@@ -79,7 +79,7 @@ def customer_ltv_job(
             reject_duplicates=True,
         )
         counts = write_counted(merged, target)
-        return JobResult(ltv_message(run_ts, summary, counts), summary, counts, refused)
+        return JobResult(run_text("customer_ltv", run_ts, summary, counts), summary, counts, refused)
     finally:
         stage.unpersist()
 

@@ -13,7 +13,7 @@ from stockwell.operators.reorder import (
     reorder_plan_runner,
     reorder_stage,
 )
-from stockwell.operators.summary import reorder_message, reorder_summary
+from stockwell.operators.summary import reorder_summary, run_text
 from stockwell.operators.upsert import REORDER_COMPARE, upsert
 from stockwell.operators.velocity import (
     daily_sales,
@@ -117,7 +117,10 @@ def inventory_reorder_job(
         )
         counts = write_counted(merged, target)
         return JobResult(
-            reorder_message(run_ts, summary, counts, lead_time_override), summary, counts, refused
+            run_text("inventory_reorder", run_ts, {"lead_time_override": lead_time_override}, summary, counts),
+            summary,
+            counts,
+            refused,
         )
     finally:
         stage.unpersist()

@@ -70,6 +70,15 @@ EVENTS = T.StructType(
         T.StructField("event_ts", T.TimestampNTZType()),
     ]
 )
+# The columns that staging orders must have; others may follow.
+SALES_STAGING = T.StructType(
+    [
+        T.StructField("order_id", T.LongType(), False),
+        T.StructField("customer_id", T.LongType(), False),
+        T.StructField("order_date", T.DateType(), False),
+        T.StructField("total_amount", T.DoubleType(), False),
+    ]
+)
 SIGNALS = T.StructType(
     [
         T.StructField("job_id", T.StringType()),

@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 from decimal import Decimal
 
 import pytest
@@ -37,8 +38,9 @@ def test_ltv_job_merges_and_reports(spark, ltv_sources, folder):
     first = customer_ltv_job(*ltv_sources, target, REF, RUN1)
     assert first.counts == {"rows_inserted": 2, "rows_updated": 0, "rows_merged": 2}
     assert first.summary["customer_count"] == 2 and first.summary["total_revenue"] == 3090.0
-    assert "rows_merged=2 (inserted=2, updated=0)" in first.message
-    assert "tier_breakdown: PLATINUM=0 GOLD=1 SILVER=0 BRONZE=1" in first.message
+    facts = json.loads(first.message.split(" ", 2)[2])
+    assert (facts["rows_merged"], facts["rows_inserted"], facts["rows_updated"]) == (2, 2, 0)
+    assert [facts[f"{t}_count"] for t in ("platinum", "gold", "silver", "bronze")] == [0, 1, 0, 1]
 
     again = customer_ltv_job(*ltv_sources, target, REF, RUN2)
     assert again.counts == {"rows_inserted": 0, "rows_updated": 0, "rows_merged": 0}
@@ -102,14 +104,15 @@ def test_reorder_job(spark, reorder_sources, folder):
         inventory_reorder_job(*reorder_sources, target, REF, RUN1)
     first = inventory_reorder_job(*reorder_sources, target, REF, RUN1, on_zero="fallback")
     assert first.counts["rows_inserted"] == 2
-    assert "lead_time_override=NULL (dynamic)" in first.message
+    facts = json.loads(first.message.split(" ", 2)[2])
+    assert facts["lead_time_override"] is None
     # The single selling product crosses both thresholds, so all are lowest.
-    assert "abc_breakdown: A=0 B=0 C=2" in first.message
+    assert [facts[f"abc_{c}_count"] for c in "abc"] == [0, 0, 2]
     override = inventory_reorder_job(
         *reorder_sources, target, REF, RUN2, on_zero="fallback", lead_time_override=30.0, cast_before_compare=True
     )
     assert override.counts["rows_updated"] == 1
-    assert "lead_time_override=30.0" in override.message
+    assert json.loads(override.message.split(" ", 2)[2])["lead_time_override"] == 30.0
 
 
 def test_reorder_runner_job_never_rewrites_a_sku(spark, reorder_sources, folder):
