@@ -1,15 +1,18 @@
 """URL filters by a character language-model ratio, in column expressions only.
 
 Hand-written rules decide the urls they fit and thereby label them. Over all
-labelled urls the characters after every context of up to two are counted for
-accepted and rejected ones. Each side's model backs off from longer to shorter
-contexts by Witten-Bell smoothing, so a context weighs by how often and how
-variedly it was seen. Other urls are judged by the difference of both log
-likelihoods per character against a threshold calibrated on the labelled urls.
-
-Characters are folded to 32 symbols, so a model is one number for each of 32^3
-codes whatever the corpus; that bound makes it a literal that scoring indexes by
-code, without a join or shuffle.
+labelled urls the characters after every context are counted for accepted and
+rejected ones. Each side's model backs off from longer to shorter contexts by
+Witten-Bell smoothing, so a context weighs by how often and how variedly it was
+seen. Other urls are judged by the difference of both log likelihoods per
+character against a threshold calibrated on labelled urls, each scored by the
+model of the other half of them.
+
+Characters are taken as they are. The longest context grows with the logarithm
+of the labelled characters, and a context is used where it was seen often enough,
+so the model is a table that grows with the input. Scoring joins it by distinct
+grams, one level of context length after the other: a gram has at most one longer
+gram for each symbol, so no key of these joins can hold more rows than that.
 """
 
 from __future__ import annotations
@@ -27,10 +30,14 @@ RULES = [
     ("example.com", "/de/", "block"),
     ("org", "/fr/", "allow"),
 ]
-#: Every character is one of these, any digit "0", or the last symbol.
-SYMBOLS = "abcdefghijklmnopqrstuvwxyz0./-?"
-BASE = len(SYMBOLS) + 1
-CODES = BASE**3
+#: Edges of a url as symbols; where a url itself holds one of these three it follows the first.
+ESCAPE, START, END = "\u0001", "\u0002", "\u0003"
+#: A context is used where it was seen this often among labelled urls.
+LEAST_COUNT = 2
+#: The longest context: so many symbols that contexts of three bits each outnumber the labelled characters no more.
+LEAST_ORDER, BITS = 2, 3
+#: The models: of all labelled urls, and of those outside each half.
+MODELS = ((0, 1), (1,), (0,))
 #: Scores are calibrated in steps of a hundredth between these bounds.
 LOWEST, HIGHEST = -500, 500
 
@@ -55,94 +62,126 @@ def matched_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
     return name, verdict
 
 
-def url_codes(url: Column) -> Column:
-    """A code of each character with the two before it; the url starts and ends with the last symbol."""
-    lowered = F.lower(F.coalesce(url, F.lit("")))
-    folded = F.regexp_replace(F.regexp_replace(lowered, "[0-9]", "0"), r"[^a-z0./?-]", "_")
-    edge = F.array(F.lit(BASE - 1))
-    numbers = F.transform(
-        F.filter(F.split(folded, ""), lambda c: c != ""),
-        lambda c: F.when(c == "_", BASE - 1).otherwise(F.position(c, F.lit(SYMBOLS)) - 1),
-    )
+def url_grams(url: Column, order: int) -> Column:
+    """Each character and the end, behind the ``order`` symbols before it."""
+    escaped = F.regexp_replace(url, f"([{ESCAPE}-{END}])", f"{ESCAPE}$1")
+    symbols = F.split(F.concat(F.lit(START * order), escaped, F.lit(END)), "")
 
     def windows(padded):
         return F.transform(
-            F.sequence(F.lit(1), F.size(padded) - 2),
-            lambda i: F.element_at(padded, i) * BASE**2
-            + F.element_at(padded, i + 1) * BASE
-            + F.element_at(padded, i + 2),
+            F.sequence(F.lit(1), F.size(padded) - order), lambda i: F.array_join(F.slice(padded, i, F.lit(order + 1)), "")
         )
 
-    return let(F.concat(edge, edge, numbers, edge), windows)
+    return let(F.filter(symbols, lambda c: c != ""), windows)
+
+
+def longest_context(characters: int) -> int:
+    """The number of symbols of the longest context for so many labelled characters."""
+    return max(LEAST_ORDER, (max(1, characters).bit_length() - 1) // BITS)
 
 
-def symbol_counts(judged: DataFrame) -> DataFrame:
-    """``accepted, code, n`` over all rows of ``url, accepted``."""
-    coded = judged.select("accepted", F.explode(url_codes(F.col("url"))).alias("code"))
-    return coded.groupBy("accepted", "code").agg(F.count(F.lit(1)).alias("n"))
+def distinct_urls(pages: DataFrame, rules=RULES) -> DataFrame:
+    """``url_id, url, n, cell`` of each different url.
+
+    ``cell`` is null without a rule, else the half (0 or 1) the url belongs to,
+    plus 2 if the rule rejects it.
+    """
+    _, verdict = matched_rule(*url_parts(F.col("url")), rules)
+    half = F.pmod(F.xxhash64("url"), F.lit(2)).cast("int")
+    cell = F.when(verdict == "allow", half).when(verdict.isNotNull(), half + 2)
+    counted = pages.groupBy("url").agg(F.count(F.lit(1)).alias("n"))
+    return written(counted.select(F.monotonically_increasing_id().alias("url_id"), "url", "n", cell.alias("cell")), "urls")
 
 
-def log_probabilities(counts: DataFrame) -> DataFrame:
-    """``accepted, code, log_p`` of every code for both sides, by Witten-Bell back-off.
+def gram_shares(positions: DataFrame, order: int) -> DataFrame:
+    """``k, gram`` of every context of k symbols and its next one, with shares by model and side.
 
-    With n observations of a context and t different characters after it, the share
-    t / (n + t) goes to the next shorter context, in the end to all symbols alike.
+    With n observations of a context and t different symbols after it, ``own`` is the
+    symbol's count by n + t and ``rest`` is t / (n + t), which goes to the next shorter
+    context. A context that is not kept passes all of it on.
     """
-    spark = counts.sparkSession
-    codes = spark.range(CODES).select(F.explode(F.array(F.lit(True), F.lit(False))).alias("accepted"), F.col("id").alias("code"))
-    dense = codes.join(counts, ["accepted", "code"], "left").select(
-        "accepted",
-        "code",
-        F.coalesce("n", F.lit(0)).alias("n3"),
-        (F.col("code") % BASE**2).alias("pair"),
-        (F.col("code") % BASE).alias("last"),
-        F.floor(F.col("code") / BASE).alias("context2"),
-        (F.floor(F.col("code") / BASE) % BASE).alias("context1"),
+    cells = [f"n{i}" for i in range(4)]
+    longest = positions.groupBy("gram").agg(
+        *[F.sum(F.when(F.col("cell") == i, F.col("n")).otherwise(0)).alias(c) for i, c in enumerate(cells)]
     )
-    singles = dense.groupBy("accepted", "last").agg(F.sum("n3").alias("n1"))
-    pairs = dense.groupBy("accepted", "pair").agg(F.sum("n3").alias("n2"))
-
-    def smoothed(n, shorter, *context):
-        over = Window.partitionBy("accepted", *context)
-        total, kinds = F.sum(n).over(over), F.sum((F.col(n) > 0).cast("int")).over(over)
-        return F.when(total == 0, shorter).otherwise((F.col(n) + kinds * shorter) / (total + kinds))
-
-    singles = singles.withColumn("p1", smoothed("n1", F.lit(1.0 / BASE)))
-    pairs = pairs.withColumn("last", F.col("pair") % BASE).withColumn("context1", F.floor(F.col("pair") / BASE))
-    pairs = pairs.join(singles.select("accepted", "last", "p1"), ["accepted", "last"])
-    pairs = pairs.withColumn("p2", smoothed("n2", F.col("p1"), "context1"))
-    full = dense.join(pairs.select("accepted", "pair", "p2"), ["accepted", "pair"])
-    return full.select("accepted", "code", F.ln(smoothed("n3", F.col("p2"), "context2")).alias("log_p"))
-
-
-def fitted_ratios(judged: DataFrame) -> list[float]:
-    """For each code the accepted model's log probability less the rejected one's."""
-    by_code = log_probabilities(symbol_counts(judged)).groupBy("code").agg(
-        F.sum(F.when(F.col("accepted"), F.col("log_p")).otherwise(-F.col("log_p"))).alias("ratio")
+    suffixes = F.transform(
+        F.sequence(F.lit(0), F.lit(order)),
+        lambda k: F.struct(k.alias("k"), F.substring(F.col("gram"), order + 1 - k, k + 1).alias("gram")),
     )
-    # Exactly CODES rows.
-    ratios = [0.0] * CODES
-    for row in by_code.collect():
-        ratios[row["code"]] = row["ratio"]
-    return ratios
-
+    counts = longest.select(F.explode(suffixes).alias("s"), *cells).groupBy("s.k", "s.gram").agg(
+        *[F.sum(c).alias(c) for c in cells]
+    )
+    over = Window.partitionBy("k", "_context")
+    sides, totals = [], []
+    for m, halves in enumerate(MODELS):
+        for side in (0, 1):
+            n = sum((F.col(cells[h + 2 * side]) for h in halves), F.lit(0))
+            sides.append(n.alias(f"c{m}{side}"))
+            count = F.col(f"c{m}{side}")
+            totals += [F.sum(count).over(over).alias(f"n{m}{side}"), F.sum((count > 0).cast("int")).over(over).alias(f"t{m}{side}")]
+    context = F.substring(F.col("gram"), F.lit(1), F.col("k")).alias("_context")
+    seen = counts.select("k", "gram", context, *sides).select("*", *totals)
+    shares = []
+    for m, _ in enumerate(MODELS):
+        kept = F.col(f"n{m}0") + F.col(f"n{m}1") >= LEAST_COUNT
+        for side in (0, 1):
+            n, t = F.col(f"n{m}{side}"), F.col(f"t{m}{side}")
+            used = kept & (n > 0)
+            shares += [
+                F.when(used, F.col(f"c{m}{side}") / (n + t)).otherwise(0.0).alias(f"own{m}{side}"),
+                F.when(used, t / (n + t)).otherwise(1.0).alias(f"rest{m}{side}"),
+            ]
+    return seen.select("k", "gram", *shares)
+
+
+def gram_ratios(shares: DataFrame, order: int, symbols: int) -> DataFrame:
+    """``gram, ratio0, ratio1, ratio2``: the accepted side's log probability less the rejected one's, by model."""
+    pairs = [f"{m}{side}" for m in range(len(MODELS)) for side in (0, 1)]
+
+    def mixed(shorter):
+        return [(F.col(f"own{x}") + F.col(f"rest{x}") * shorter(x)).alias(f"p{x}") for x in pairs]
+
+    level = shares.where(F.col("k") == 0).select("gram", *mixed(lambda _: F.lit(1.0 / symbols)))
+    for k in range(1, order + 1):
+        shorter = level.select(F.col("gram").alias("_suffix"), *[F.col(f"p{x}").alias(f"q{x}") for x in pairs])
+        longer = shares.where(F.col("k") == k).withColumn("_suffix", F.substring("gram", 2, k))
+        level = longer.join(shorter, "_suffix").select("gram", *mixed(lambda x: F.col(f"q{x}")))
+    # Decimals, so that sums over a url do not depend on the order of its rows.
+    ratios = [(F.ln(f"p{m}0") - F.ln(f"p{m}1")).cast("decimal(18,9)").alias(f"ratio{m}") for m in range(len(MODELS))]
+    return level.select("gram", *ratios)
+
+
+def score_urls(urls: DataFrame) -> DataFrame:
+    """``url, n, cell, score, outside``: the mean log-likelihood difference of a url's characters and its end.
+
+    ``score`` is by the model of all labelled urls, ``outside`` by that of the half without the url.
+    """
+    labelled = urls.where(F.col("cell").isNotNull()).agg(F.sum(F.length("url").cast("long")).alias("characters"))
+    order = longest_context(labelled.first()["characters"] or 0)
+    positions = written(urls.select("url_id", "cell", "n", F.explode(url_grams(F.col("url"), order)).alias("gram")), "grams")
+    shares = written(gram_shares(positions, order), "shares")
+    symbols = max(1, shares.where(F.col("k") == 0).count())
+    found = positions.join(gram_ratios(shares, order, symbols), "gram")
+    outside = F.when(F.col("cell") % 2 == 0, F.col("ratio1")).otherwise(F.col("ratio2"))
 
-def url_score(url: Column, ratios: list[float]) -> Column:
-    """The mean log-likelihood difference of a url's characters and its end."""
-    table = F.split(F.lit(",".join(f"{r:.4f}" for r in ratios)), ",").cast("array<double>")
+    def mean(ratio):
+        return F.round(F.sum(ratio).cast("double") / F.count(F.lit(1)), 6)
 
-    def mean(codes):
-        ratios_found = F.transform(codes, lambda c: F.element_at(table, (c + 1).cast("int")))
-        return F.aggregate(ratios_found, F.lit(0.0), lambda acc, r: acc + r) / F.size(codes)
+    scores = found.groupBy("url_id").agg(mean("ratio0").alias("score"), mean(outside).alias("outside"))
+    return written(urls.join(scores, "url_id").select("url", "n", "cell", "score", "outside"), "scores")
 
-    return F.round(let(url_codes(url), mean), 6)
 
+def calibrated_threshold(scores: DataFrame) -> float:
+    """The score with the least sum of both sides' error rates; 0 if a side is empty.
 
-def calibrated_threshold(judged: DataFrame, ratios: list[float]) -> float:
-    """The score with the least sum of both sides' error rates; 0 if a side is empty."""
-    step = F.least(F.greatest(F.floor(url_score(F.col("url"), ratios) * 100), F.lit(LOWEST)), F.lit(HIGHEST))
+    A url counts with its score by the half without it, unless a half lacks a side.
+    """
+    labelled = scores.where(F.col("cell").isNotNull())
+    cells = labelled.select("cell").distinct().count()
+    score = F.col("outside" if cells == 4 else "score")
+    step = F.least(F.greatest(F.floor(score * 100), F.lit(LOWEST)), F.lit(HIGHEST))
     # At most HIGHEST - LOWEST + 1 rows for each side.
-    counts = judged.select("accepted", step.alias("step")).groupBy("accepted", "step").agg(F.count(F.lit(1)).alias("n")).collect()
+    counts = labelled.groupBy((F.col("cell") < 2).alias("accepted"), step.alias("step")).agg(F.sum("n").alias("n")).collect()
     sides = {side: {r["step"]: r["n"] for r in counts if r["accepted"] == side} for side in (True, False)}
     totals = {side: sum(bins.values()) for side, bins in sides.items()}
     if not all(totals.values()):
@@ -165,15 +204,12 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     one. Without labelled urls of both sides the threshold is 0. Repeated rows
     are judged alike; an empty table gives no rows; other columns are not read.
     """
-    host, path = url_parts(F.col(url_col))
-    parted = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host.alias("host"), path.alias("path"))
+    pages = pages.select(F.col(id_col).alias("page_id"), F.coalesce(F.col(url_col), F.lit("")).alias("url"))
+    scores = score_urls(distinct_urls(pages, rules))
+    threshold = calibrated_threshold(scores)
+    host, path = url_parts(F.col("url"))
     rule, verdict = matched_rule(F.col("host"), F.col("path"), rules)
-    ruled = parted.select("*", rule.alias("rule"), verdict.alias("_ruled"))
-    judged = written(
-        ruled.where(F.col("_ruled").isNotNull()).select("url", (F.col("_ruled") == "allow").alias("accepted")), "judged"
-    )
-    ratios = fitted_ratios(judged)
-    threshold = calibrated_threshold(judged, ratios)
-    scored = ruled.withColumn("score", url_score(F.col("url"), ratios))
+    scored = pages.join(scores.select("url", "score"), "url").select("page_id", host.alias("host"), path.alias("path"), "score")
+    ruled = scored.select("*", rule.alias("rule"), verdict.alias("_ruled"))
     decided = F.coalesce("_ruled", F.when(F.col("score") >= threshold, "allow").otherwise("block"))
-    return scored.select("page_id", "host", "path", "rule", decided.alias("verdict"), "score")
+    return ruled.select("page_id", "host", "path", "rule", decided.alias("verdict"), "score")

@@ -236,6 +236,24 @@ def test_url_filter(spark):
     assert urls.filter_urls(pages.limit(0)).count() == 0
 
 
+def test_url_model_tells_all_characters_and_longer_contexts(spark):
+    # All but the last pair differ in characters outside a-z0./?-, or in digits; the last one in a symbol four places back.
+    pairs = [("_", "="), ("é", "ü"), ("%C3", "%D0"), ("7", "8"), ("😀", "\u0002"), ("abxyz-cdxyw", "abxyw-cdxyz")]
+    rules = [("good.org", "/", "allow"), ("evil.org", "/", "block")]
+    given = [
+        f"http://{host}.org/{'qrs'[i % 3]}{mark}{'tuv'[i % 2]}"
+        for pair in pairs for i in range(40) for host, mark in zip(("good", "evil"), pair)
+    ]
+    first = len(given)
+    given += [f"http://none.org/q{mark}t" for pair in pairs for mark in pair]
+    pages = spark.createDataFrame(list(enumerate(given)), "page_id long, url string")
+    score = {r.page_id: r.score for r in urls.filter_urls(pages, rules=rules).collect()}
+    assert len(score) == len(given)
+    for i, pair in enumerate(pairs):
+        assert score[first + 2 * i] > score[first + 2 * i + 1], pair
+    assert [urls.longest_context(10**i) for i in (0, 3, 5, 7, 9)] == [2, 3, 5, 7, 9]
+
+
 def test_chat_format(spark):
     turns = [
         (1, 0, "user", "a\\b </s> <|end|>"), (1, 1, "assistant", "<<SYS>> [INST]x[/INST] \\. é😀"), (1, 2, "assistant", None),
