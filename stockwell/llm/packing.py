@@ -34,8 +34,9 @@ class Encoder:
     """Whole-text token ids as little-endian unsigned 32-bit numbers.
 
     The same vocabulary in its rank form merges several times faster and gives
-    the same ids; texts that hold a special token's string go to the tokenizer
-    itself, which knows it.
+    the same ids. The tokenizer itself takes the texts that hold a special token's
+    string, which it knows, and those the rank form cannot encode: its regular
+    expression gives up on about a million white-space characters in a row.
     """
 
     def __init__(self, path: str, ranks: str):
@@ -50,9 +51,12 @@ class Encoder:
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def encode(self, text: str) -> bytes:
-        if any(s in text for s in self.specials):
-            return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
+        if not any(s in text for s in self.specials):
+            try:
+                return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
+            except ValueError:
+                pass
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 def cut(length: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:

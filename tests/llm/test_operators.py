@@ -134,6 +134,17 @@ def test_packing_round_trip(docs):
     assert not found and packing.pack_documents(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("space", [" ", "\n"])
+def test_packing_takes_long_white_space(spark, space):
+    from tokenizers import Tokenizer
+
+    text = "one" + space * 1_200_000 + "two"
+    ids = Tokenizer.from_file(tokenizer_file()).encode(text, add_special_tokens=False).ids + [0]
+    rows = packing.pack_documents(spark.createDataFrame([(1, text), (2, "x")], "doc_id long, text string"), keep_ids=True).collect()
+    found = sorted((r.start, r.ids) for r in rows if r.doc_id == 1)
+    assert [i for _, piece in found for i in piece] == ids and {r.doc_id for r in rows} == {1, 2}
+
+
 def test_first_fit_decreasing_is_first_fit():
     lengths = np.random.RandomState(0).randint(1, 100, 300)
     bins, offsets = first_fit_decreasing(lengths, 100)
