@@ -265,11 +265,18 @@ def _ltv_target(spark, sf, profile="sql"):
 
 
 def _ltv_source(spark, sf, profile="sql"):
-    return _stamp(_quotable(_scored(spark, sf, profile)), RUN_TS).select(*LTV_COLUMNS)
+    return _stamp(_scored(spark, sf, profile), RUN_TS).select(*LTV_COLUMNS)
+
+
+def _merge_quotable(target, source, **options):
+    """The merge of the scores the target accepts, and a row of action ``refused`` for each other one."""
+    merged = upsert(target, _quotable(source), ["customer_id"], **options)
+    refused = conform(source.filter(F.col("ltv_score").isNull()), CUSTOMER_LTV)
+    return merged.unionByName(refused.withColumn(ACTION, F.lit("refused")))
 
 
 def _merged_ltv(spark, sf):
-    return upsert(_ltv_target(spark, sf), _ltv_source(spark, sf), ["customer_id"], compare=LTV_COMPARE)
+    return _merge_quotable(_ltv_target(spark, sf), _ltv_source(spark, sf), compare=LTV_COMPARE)
 
 
 def _named(merged):
@@ -285,9 +292,7 @@ def upsert_counts_ltv(spark, sf):
 
 
 def upsert_ltv_unconditional(spark, sf):
-    return _named(
-        upsert(_ltv_target(spark, sf, "runner"), _ltv_source(spark, sf, "runner"), ["customer_id"])
-    )
+    return _named(_merge_quotable(_ltv_target(spark, sf, "runner"), _ltv_source(spark, sf, "runner")))
 
 
 def _reorder_target(spark, sf, profile="sql"):

@@ -122,7 +122,16 @@ def split_on_nulls(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, Data
 
 
 def exact(df: DataFrame, name: str, scale: int):
-    """Column ``name`` as a decimal, so that sums do not depend on row order."""
-    if isinstance(df.schema[name].dataType, T.DecimalType):
+    """Column ``name`` as a decimal, so that sums do not depend on row order.
+
+    A value that has more digits than the decimal holds fails the running job.
+    """
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.DecimalType):
         return F.col(name)
-    return F.col(name).cast(T.DecimalType(18, scale))
+    held = T.DecimalType(18, scale)
+    value = F.col(name).try_cast(held)
+    read = kind if isinstance(kind, T.FloatType) else T.DoubleType()
+    lost = F.col(name).isNotNull() & ~F.coalesce(value.cast(read) == F.col(name).cast(read), F.lit(False))
+    message = F.concat(F.lit(f"{name} does not fit {held.simpleString()}: "), F.col(name).cast("string"))
+    return F.when(lost, F.raise_error(message).cast(held)).otherwise(value)

@@ -80,8 +80,15 @@ def read_json(
     schema: T.StructType,
     streaming: bool = False,
     options: Mapping[str, str] | None = None,
+    missing: str = "null",
 ) -> DataFrame:
-    """JSON-lines landing files in the shape of :func:`read_csv`."""
+    """JSON-lines landing files in the shape of :func:`read_csv`.
+
+    A line with an unknown or repeated field is flagged as ``field_count``; so is one
+    that lacks a field with ``missing="error"``, else that field is read as NULL.
+    """
+    if missing not in ("null", "error"):
+        raise ValueError("missing is null or error")
     names = [f.name for f in schema.fields]
     strings = T.StructType([T.StructField(n, T.StringType()) for n in names]).add(_CORRUPT, T.StringType())
     parsed = F.from_json(
@@ -97,10 +104,17 @@ def read_json(
     errors = cast_errors(
         {n: F.col(f"r.{n}") for n in names}, {f.name: f.dataType for f in schema.fields}
     )
-    broken = F.col("r").isNull() | F.col(f"r.{_CORRUPT}").isNotNull()
+    found, known = F.json_object_keys("value"), F.array(*[F.lit(n) for n in names])
+    broken = F.col("r").isNull() | F.col(f"r.{_CORRUPT}").isNotNull() | found.isNull()
+    other = (F.size(F.array_except(found, known)) > 0) | (F.size(found) > F.size(F.array_distinct(found)))
+    if missing == "error":
+        other = other | (F.size(F.array_except(known, found)) > 0)
     return raw.select(
         *[F.col(f"r.{f.name}").try_cast(f.dataType).alias(f.name) for f in schema.fields],
-        F.when(broken, F.array(F.lit("malformed"))).otherwise(errors).alias(ERRORS),
+        F.when(broken, F.array(F.lit("malformed")))
+        .when(other, F.array(F.lit("field_count")))
+        .otherwise(errors)
+        .alias(ERRORS),
         F.col("value").alias(LINE),
         FILE,
     )

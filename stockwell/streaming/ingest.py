@@ -39,12 +39,13 @@ def load_landing(
     The file sink commits a batch as a whole, so a replay leaves no duplicates.
     Its folder has two partitions: ``outcome=loaded`` is RAW and
     ``outcome=quarantined`` is the quarantine, where the original line and its errors are kept.
+    A JSON line must have just the fields of ``schema``, as a CSV line must.
     """
     options = {} if max_files is None else {"maxFilesPerTrigger": str(max_files)}
     if file_format == "csv":
         landed = read_csv(spark, landing, schema, delimiter, streaming=True, options=options)
     else:
-        landed = read_json(spark, landing, schema, streaming=True, options=options)
+        landed = read_json(spark, landing, schema, streaming=True, options=options, missing="error")
     bad = F.size(ERRORS) > 0
     rows = landed.withColumns(
         {

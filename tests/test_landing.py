@@ -1,11 +1,13 @@
 import datetime as dt
 import os
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
+from checks import queries
 from conftest import rows
-from stockwell.schemas import EVENTS
+from stockwell.schemas import EVENTS, exact
 from stockwell.sources import landing
 from stockwell.streaming import ingest
 
@@ -99,3 +101,39 @@ def test_landing_stream_loads_each_file_once(spark, folder, max_files):
     assert sorted(r["id"] for r in ingest.raw_rows(spark, folder("raw")).collect()) == [1, 7, 8, 9, 10]
     bad = {r[landing.LINE]: r[landing.ERRORS] for r in ingest.quarantine_rows(spark, folder("raw")).collect()}
     assert bad == {**BAD, f"x,{T2}": ["id"]}
+
+
+def test_json_lines_with_other_fields_are_quarantined(spark, folder):
+    good = f'{{"event_ts": "{T1}", "id": 1}}'
+    unknown, twice = f'{{"id": 2, "event_ts": "{T1}", "x": 0}}', f'{{"id": 3, "id": 4, "event_ts": "{T1}"}}'
+    lacking = '{"id": 5}'
+    put(folder("in"), "a.json", "\n".join([good, unknown, twice, lacking]) + "\n")
+    for missing, bad in (("null", {unknown, twice}), ("error", {unknown, twice, lacking})):
+        landed = landing.read_json(spark, folder("in"), EVENTS, missing=missing)
+        found = {r[landing.LINE]: r[landing.ERRORS] for r in landing.quarantined(landed).collect()}
+        assert found == {line: ["field_count"] for line in bad}
+    ingest.load_landing(spark, folder("in"), folder("raw"), folder("c"), file_format="json")
+    assert rows(ingest.raw_rows(spark, folder("raw"))) == [(1, D1)]
+    assert ingest.quarantine_rows(spark, folder("raw")).count() == 3
+
+
+def test_measures_that_do_not_fit_fail_the_job(spark):
+    def read(value, kind):
+        df = spark.createDataFrame([(value,)], f"x {kind}")
+        return df.select(exact(df, "x", 2).alias("x")).first().x
+
+    assert [read(v, k) for v, k in ((0.1, "double"), (0.1, "float"), (7, "long"), ("1.5", "string"), (None, "double"))] == [
+        Decimal("0.10"), Decimal("0.10"), Decimal("7.00"), Decimal("1.50"), None,
+    ]
+    for value in (0.004, 1e17, float("nan")):
+        with pytest.raises(Exception, match="does not fit"):
+            read(value, "double")
+
+
+def test_refused_customers_are_rows_of_the_upserts(spark, monkeypatch):
+    names = "customer_id long, ltv_score double, ltv_tier string, predicted_revenue_12m double, churn_risk_score double"
+    scored = spark.createDataFrame([(1, 5.0, "LOW", 1.0, 0.1), (2, None, None, None, None)], names)
+    monkeypatch.setattr(queries, "_scored", lambda *_: scored)
+    monkeypatch.setattr(queries, "_previous_orders", lambda *_: None)
+    for query in (queries.upsert_ltv, queries.upsert_ltv_unconditional):
+        assert {r.customer_id: r.action == "refused" for r in query(spark, "").collect()} == {1: False, 2: True}
