@@ -102,7 +102,7 @@ ANCHORS = [
     "licen", "unlicen", "gpl", "lgpl", "agpl", "apache", "cc by", "cc0", "mit no attribution", "mit 0", "bsd", "spdx",
     "mpl", "epl", "cddl", "eupl", "gfdl", "artistic", "zlib", "wtfpl", "0bsd", "isc ", "public domain", "copyright",
     "all rights reserved", "redistribution", "permission", "endorse", "creative commons", "clause bsd", "simplified bsd",
-    "open data commons", "released under", "distributed under", "available under", "provided under",
+    "open data commons", "ms pl", "released under", "distributed under", "available under", "provided under",
 ]
 
 

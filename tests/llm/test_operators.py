@@ -190,6 +190,34 @@ def _license_brute(text):
     return len(words), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in places}))
 
 
+def _shortest(parsed):
+    """Strings that a parsed pattern fits: every branch, with nothing optional and the first of each class."""
+    found = [""]
+    for op, value in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            own = [chr(value)]
+        elif name == "IN":
+            kind, first = value[0]
+            own = [chr(first[0] if str(kind) == "RANGE" else first)]
+        elif name == "BRANCH":
+            own = [x for branch in value[1] for x in _shortest(branch)]
+        elif name == "SUBPATTERN":
+            own = _shortest(value[3])
+        else:
+            assert name == "MAX_REPEAT", name
+            own = [x * value[0] for x in _shortest(value[2])] if value[0] else [""]
+        found = [a + b for a in found for b in own]
+    return found
+
+
+def test_every_license_rule_passes_the_gate():
+    for rule in licenses.RULES:
+        for sample in _shortest(re._parser.parse(rule.pattern)):
+            assert re.search(rule.pattern, sample)
+            assert any(f" {anchor}" in f" {sample} " for anchor in licenses.ANCHORS), (rule.name, sample)
+
+
 def test_license_scan(docs):
     rows = licenses.license_digest(licenses.scan_licenses(docs)).collect()
     texts = {i: t for i, t, *_ in ROWS}
