@@ -3,8 +3,8 @@
 Stage one tokenizes each whole document where it is read and cuts it into pieces:
 full sequences, then a half sequence if more than half is left, then the
 remainder. Items of at most half a bin are what first-fit decreasing packs
-almost without loss. Stage two deals the pieces to groups by a hash of the id and
-packs each group on its own, so groups run in parallel and a lost one is redone
+almost without loss. Stage two deals the pieces to groups by a hash of the id, the
+start and a salt written with the piece, and packs each group on its own, so groups run in parallel and a lost one is redone
 alone. Only lengths and checksums are shuffled.
 """
 
@@ -28,6 +28,7 @@ CAPACITY = 1024
 #: Documents of one group; a group's pieces are packed by one task.
 GROUP_DOCUMENTS = 4096
 END = 0
+SALT = "_salt"
 
 
 class Encoder:
@@ -114,20 +115,22 @@ def token_pieces(
 def pack(pieces: DataFrame, capacity: int = CAPACITY, group_documents: int = GROUP_DOCUMENTS) -> DataFrame:
     """Add ``sequence_id`` and ``offset``; sequences are filled from offset 0 without gaps.
 
-    Groups are dealt by a hash of ``doc_id``; their number follows the number of
-    documents, so a group's size does not grow with the table.
+    Groups are dealt by a hash of ``doc_id``, ``start`` and, if there, ``_salt``, which is
+    dropped; their number follows the number of documents, so a group's size does not grow
+    with the table. With a salt of its own for each piece no repeated or null id fills a group.
     """
     documents = pieces.where(F.col("start") == 0).count()
     groups = max(1, math.ceil(documents / group_documents))
-    names = pieces.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
+    names = [c for c in pieces.columns if c != SALT]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields if f.name != SALT)
 
     def pack_group(key: tuple[Any, ...], group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["doc_id", "start", "length"], kind="stable", ignore_index=True)
         bins, offsets = first_fit_decreasing(group["length"].to_numpy(), capacity)
         return group[names].assign(sequence_id=(key[0] << 32) + bins, offset=offsets)
 
-    dealt = pieces.withColumn("_group", F.pmod(F.xxhash64("doc_id"), F.lit(groups)))
+    keys = ["doc_id", "start"] + [SALT] * (SALT in pieces.columns)
+    dealt = pieces.withColumn("_group", F.pmod(F.xxhash64(*keys), F.lit(groups))).drop(SALT)
     return dealt.groupBy("_group").applyInPandas(pack_group, schema + ", sequence_id long, offset long")
 
 
@@ -140,5 +143,6 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     packing = {k: options.pop(k) for k in ("capacity", "group_documents") if k in options}
     cutting = {k: v for k, v in packing.items() if k == "capacity"}
-    pieces = written(token_pieces(docs, id_col, text_col, **options, **cutting), "pieces")
+    cut_up = token_pieces(docs, id_col, text_col, **options, **cutting)
+    pieces = written(cut_up.withColumn(SALT, F.monotonically_increasing_id()), "pieces")
     return pack(pieces, **packing)

@@ -134,6 +134,13 @@ def test_packing_round_trip(docs):
     assert not found and packing.pack_documents(docs.limit(0)).count() == 0
 
 
+def test_packing_deals_a_repeated_id_to_all_groups(spark):
+    docs = spark.createDataFrame([(None if i % 2 else 7, "same text") for i in range(2000)], "doc_id long, text string")
+    rows = packing.pack_documents(docs, group_documents=100).collect()
+    groups = Counter(r.sequence_id >> 32 for r in rows)
+    assert len(rows) == 2000 and len(groups) == 20 and max(groups.values()) < 200
+
+
 @pytest.mark.parametrize("space", [" ", "\n"])
 def test_packing_takes_long_white_space(spark, space):
     from tokenizers import Tokenizer
