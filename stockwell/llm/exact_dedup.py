@@ -16,7 +16,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockwell.llm.common import SPACE, whole_text, without_ids, written
+from stockwell.llm.common import (
+    SPACE,
+    built_side,
+    every_column,
+    fresh_name,
+    quoted,
+    whole_text,
+    without_ids,
+    written,
+)
 
 #: A digest with this share of all rows is decided without a shuffle.
 HEAVY_SHARE = 0.001
@@ -86,21 +95,25 @@ def exact_duplicates(
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
+    """The rows of ``docs`` that stay, with all their columns, which may have any name."""
     decided = written(exact_duplicates(docs, id_col, text_col, **options), "exact")
     dropped = decided.where(~F.col("kept")).select(F.col("doc_id").alias(id_col))
     kept = decided.where("kept").select(F.col("doc_id").alias(id_col))
-    repeated = dropped.join(kept, dropped[id_col].eqNullSafe(kept[id_col]), "left_semi").distinct()
+    mine, theirs = dropped[quoted(id_col)], kept[quoted(id_col)]
+    repeated = written(dropped.join(kept, mine.eqNullSafe(theirs), "left_semi").distinct(), "repeated")
     if repeated.isEmpty():
         return without_ids(docs, dropped, id_col, nulls=True)
     # An id with both a kept and a dropped row repeats itself; keep one row of each text.
-    again = repeated.withColumn("_again", F.lit(True)).withColumnRenamed(id_col, "_id")
-    marked = docs.join(again, docs[id_col].eqNullSafe(again["_id"]), "left")
-    once = without_ids(marked.where(F.col("_again").isNull()).select(*docs.columns), dropped, id_col, nulls=True)
-    normal = F.sha2(F.regexp_replace(whole_text(text_col), SPACE, " "), 256)
-    winners = decided.where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_digest"))
-    twice = marked.where(F.col("_again")).drop("_again", "_id").withColumn("_digest", normal).dropDuplicates([id_col, "_digest"])
+    own, digest = fresh_name(docs, "id"), fresh_name(docs, "digest")
+    once = without_ids(without_ids(docs, repeated, id_col, nulls=True), dropped, id_col, nulls=True)
+    again = built_side(repeated.withColumnRenamed(id_col, own))
+    twice = docs.join(again, docs[quoted(id_col)].eqNullSafe(again[own]), "left_semi")
+    normal = F.sha2(F.regexp_replace(F.coalesce(F.col(quoted(text_col)), F.lit("")), SPACE, " "), 256)
+    twice = twice.withColumn(digest, normal).dropDuplicates([id_col, digest])
+    winners = decided.where("kept").select(F.col("doc_id").alias(own), F.col("text_sha256").alias(f"{digest}_kept"))
     twice = twice.join(
-        winners, twice[id_col].eqNullSafe(winners["_id"]) & (twice["_digest"] == winners["_digest"]), "left_semi"
+        winners,
+        twice[quoted(id_col)].eqNullSafe(winners[own]) & (twice[quoted(digest)] == winners[f"{digest}_kept"]),
+        "left_semi",
     )
-    return once.union(twice.select(*docs.columns))
+    return once.union(twice.select(*every_column(docs)))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockwell.llm.common import whole_text
+from stockwell.llm.common import map_rows, whole_text
 
 #: Buckets of hashed n-grams.
 BUCKETS = 1 << 16
@@ -301,13 +301,17 @@ def identify_languages(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataF
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel, least: float, text_col: str = "text") -> DataFrame:
-    """Rows whose language is known with at least that probability, with all their columns."""
+    """Rows whose language is known with at least that probability, with all their columns.
+
+    Null, empty and letterless texts go; rows are judged one by one, so repeats are judged
+    alike. An empty table gives no rows. Columns may have any name.
+    """
+    place = docs.columns.index(text_col)
 
     def keep(batches):
         for batch in batches:
-            texts = batch.column(batch.schema.names.index(text_col)).to_pylist()
-            names, scores = predictions(texts, model)
+            names, scores = predictions(batch.column(place).to_pylist(), model)
             kept = [n != UNKNOWN and s >= least for n, s in zip(names, scores)]
             yield batch.filter(pa.array(kept, pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return map_rows(docs, keep)

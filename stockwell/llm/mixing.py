@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockwell.llm.common import WORD, whole_text, written
+from stockwell.llm.common import WORD, every_column, fresh_name, quoted, whole_text, written
 
 #: Bits of the hash line, and bits resolved by one histogram.
 HASH_BITS, STEP_BITS = 60, 12
@@ -171,18 +171,23 @@ def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 
     Rows without words cost nothing and stay once where their id lies below the
     source's threshold, as if they were taken: they are dropped only with a rate of 0.
+    Columns may have any name.
     """
     mixed = mix(docs, id_col, text_col, source_col)
+    own_id, own_source, times_name, copy = (fresh_name(docs, n) for n in ("id", "source", "times", "copy"))
+    passes = F.max(F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(1)).cast("int")
     times = (
-        mixed.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"))
-        .agg(F.max(F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(1)).cast("int").alias("_times"))
+        mixed.groupBy(F.col("doc_id").alias(own_id), F.col("source").alias(own_source))
+        .agg(passes.alias(times_name))
         .hint("shuffle_hash")
     )
     joined = docs.join(
-        times, docs[id_col].eqNullSafe(times["_id"]) & docs[source_col].cast("string").eqNullSafe(times["_source"])
+        times,
+        docs[quoted(id_col)].eqNullSafe(times[own_id])
+        & docs[quoted(source_col)].cast("string").eqNullSafe(times[own_source]),
     )
     return (
-        joined.where(F.col("_times") > 0)
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-        .select(*docs.columns)
+        joined.where(F.col(times_name) > 0)
+        .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times_name))))
+        .select(*every_column(docs))
     )

@@ -1,17 +1,20 @@
 """Near duplicates by SetSketch bands, likelihood estimates and exact verification.
 
 1. One pass over the texts writes for every document the size and a digest of its
-   shingle set, its registers and its band keys. Equal sets are one class from
-   here on, so copies cost nothing further.
+   shingle set, its registers, its band keys and its odd sketch. Equal sets are one
+   class from here on, under a number of its own, so copies cost nothing further
+   and repeated or null ids change nothing.
 2. Classes that share a band key are candidates. A bucket is never expanded into
-   all its pairs: first every member is compared with the bucket's leader, drawn
-   by a hash and so another one in each bucket.
-3. A pair's registers and set sizes give its likeliest similarity; pairs six
-   deviations below the threshold are set aside. All others are verified on
-   their full shingle sets, which are fetched for candidates only.
-4. Verified links form components. Buckets of three or more that still hold
-   several components have their remaining pairs across components compared
-   in the same way, so every candidate pair that could change the result is tested.
+   all its pairs: first every member is compared with the bucket's leader. Leaders
+   are the smallest numbers, one order for all buckets, so the same pair seldom arises twice.
+3. A pair whose odd sketches differ in more bits than its sets may differ in elements
+   is ruled out for certain. Of the others the registers and set sizes give the likeliest
+   similarity; pairs six deviations below the threshold are set aside. All that are left
+   are verified on their full shingle sets, which are fetched for candidates only.
+4. Verified links form components. In buckets that still hold several components, pairs
+   across components are joined under the odd sketch's bound, so that only pairs that
+   may reach the threshold become rows, and are compared in the same way. Every
+   candidate pair that could change the result is tested.
 """
 
 from __future__ import annotations
@@ -21,16 +24,29 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from stockwell.llm.common import whole_text, without_ids, written
+from pyspark.sql import types as T
+
+from stockwell.llm.common import (
+    built_side,
+    every_column,
+    fresh_name,
+    map_rows,
+    quoted,
+    whole_text,
+    without_ids,
+    written,
+)
 from stockwell.llm.components import components
 from stockwell.llm.setsketch import (
+    ODD_WORDS,
     REGISTERS,
     WordHashes,
+    band_rows,
     bands,
     likely_similarity,
+    odd_sketch,
     registers,
     shingles,
 )
@@ -39,10 +55,18 @@ from stockwell.llm.setsketch import (
 DEVIATIONS = 6
 #: Members compared with one copy of a center's shingle set.
 MEMBERS_PER_CENTER = 512
+_ODD = [f"odd{i}" for i in range(ODD_WORDS)]
 
 
-def sketches(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, digest, registers, bands``; the last three null for empty sets."""
+def _digest(elements: np.ndarray) -> bytes | None:
+    return xxhash.xxh3_128_digest(elements.tobytes()) if len(elements) else None
+
+
+def sketches(
+    docs: DataFrame, width: int, threshold: float, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``doc_id, n_shingles, digest, registers, bands, odd``; the last four null for empty sets."""
+    rows_of_band = band_rows(threshold)
 
     def sketch(batches):
         hashes = WordHashes()
@@ -51,12 +75,11 @@ def sketches(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str
             for text in batch.column(1):
                 found = shingles(text.as_py(), width, hashes)
                 if not len(found):
-                    rows.append((0, None, None, None))
+                    rows.append((0, None, None, None, None))
                     continue
                 drawn = registers(found)
-                digest = xxhash.xxh3_128_digest(found.tobytes())
-                rows.append((len(found), digest, drawn.tobytes(), bands(drawn)))
-            sizes, digests, drawn, keys = zip(*rows) if rows else ((),) * 4
+                rows.append((len(found), _digest(found), drawn.tobytes(), bands(drawn, rows_of_band), odd_sketch(found)))
+            sizes, digests, drawn, keys, odd = zip(*rows) if rows else ((),) * 5
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -64,38 +87,44 @@ def sketches(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str
                     pa.array(digests, pa.binary()),
                     pa.array(drawn, pa.binary()),
                     pa.array(keys, pa.list_(pa.int64())),
+                    pa.array(odd, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n_shingles", "digest", "registers", "bands"],
+                names=["doc_id", "n_shingles", "digest", "registers", "bands", "odd"],
             )
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
     return source.mapInArrow(
-        sketch, "doc_id long, n_shingles long, digest binary, registers binary, bands array<long>"
+        sketch,
+        "doc_id long, n_shingles long, digest binary, registers binary, bands array<long>, odd array<long>",
     )
 
 
 def _bucket_members(classes: DataFrame) -> DataFrame:
-    """``key, id, n, leader, leader_n, members`` of every bucket of two or more."""
-    placed = classes.select("id", "n", F.explode("bands").alias("key"))
+    """``key, id, leader`` of every member of a bucket of two or more."""
+    placed = classes.select("id", F.explode("bands").alias("key"))
     leaders = (
         placed.groupBy("key")
-        .agg(
-            F.min(F.struct(F.xxhash64("id", "key").alias("h"), "id", "n")).alias("first"),
-            F.count(F.lit(1)).alias("members"),
-        )
-        .where("members > 1")
-        .select("key", F.col("first.id").alias("leader"), F.col("first.n").alias("leader_n"), "members")
+        .agg(F.min("id").alias("leader"), F.max("id").alias("last"))
+        .where("leader < last")
+        .select("key", "leader")
     )
-    return placed.join(leaders, "key")
+    return placed.join(leaders, "key").select("key", "id", "leader")
+
 
+def _possible(a: str, b: str, percent: int) -> Column:
+    """Whether sizes and odd sketches of the rows named ``a`` and ``b`` allow the threshold.
 
-def _pairs(table: DataFrame, x: str, y: str, n_x: str, n_y: str, percent: int) -> DataFrame:
-    """Distinct ``a < b`` whose sizes alone do not rule out the threshold."""
-    alike = 100 * F.least(n_x, n_y) >= percent * F.greatest(n_x, n_y)
-    return table.where((F.col(x) != F.col(y)) & alike).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
+    Sets that share ``percent`` of their union differ in at most
+    ``(100 - percent) / (100 + percent)`` of the sum of their sizes.
+    """
+    n_a, n_b = F.col(f"{a}.n"), F.col(f"{b}.n")
+    differ = sum((F.bit_count(F.col(f"{a}.{o}").bitwiseXOR(F.col(f"{b}.{o}"))) for o in _ODD), F.lit(0))
+    return (100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)) & (
+        (100 + percent) * differ <= (100 - percent) * (n_a + n_b)
+    )
 
 
-def _estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _estimated(pairs: DataFrame, sketched: DataFrame, percent: int) -> DataFrame:
     """The pairs that may reach the threshold, with their likeliest similarity."""
     threshold = percent / 100
     least = threshold - DEVIATIONS * math.sqrt(threshold * (1 - threshold) / REGISTERS)
@@ -104,22 +133,22 @@ def _estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            drawn = [
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, REGISTERS)
-                for c in (2, 3)
-            ]
             sizes = [batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in (4, 5)]
-            for at in range(0, batch.num_rows, 4096):
-                part = slice(at, at + 4096)
-                likely = likely_similarity(*(x[part] for x in (*drawn, *sizes)))
+            for at in range(0, batch.num_rows, 1024):
+                rows = batch.slice(at, 1024)
+                drawn = [
+                    np.frombuffer(b"".join(rows.column(c).to_pylist()), np.uint16).reshape(-1, REGISTERS)
+                    for c in (2, 3)
+                ]
+                likely = likely_similarity(*drawn, *(x[at : at + 1024] for x in sizes))
                 keep = np.flatnonzero(likely >= least)
-                rows = batch.slice(at, 4096).take(pa.array(keep))
+                rows = rows.take(pa.array(keep))
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0), rows.column(1), pa.array(likely[keep])], names=["a", "b", "likely"]
                 )
 
     def side(name):
-        return classes.select(
+        return sketched.select(
             F.col("id").alias(name), F.col("registers").alias(f"r_{name}"), F.col("n").alias(f"n_{name}")
         )
 
@@ -127,23 +156,48 @@ def _estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return joined.select("a", "b", "r_a", "r_b", "n_a", "n_b").mapInArrow(estimate, "a long, b long, likely double")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs whose full sets reach the threshold.
+def _sets(wanted: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """``id, set`` of the wanted classes (``id, digest, doc_id``, the last the smallest id of a text with that set).
 
-    A center's set meets its members' in sorted streams: a task holds one set and
-    one batch. A center with many members gets a copy for each 512 of them.
+    Texts are read by id and matched by digest. Classes that no id names are looked for
+    among all texts without one.
     """
-    pairs = written(pairs.select("a", "b"), "pairs")
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
 
     def collect_sets(batches):
         hashes = WordHashes()
         for batch in batches:
-            sets = [shingles(t.as_py(), width, hashes).tobytes() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["id", "set"])
+            sets = [shingles(t.as_py(), width, hashes) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([_digest(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
+                names=["digest", "set"],
+            )
+
+    named = wanted.where(F.col("doc_id").isNotNull())
+    ids = built_side(named.select("doc_id").distinct())
+    found = texts.join(ids, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(
+        collect_sets, "digest binary, set binary"
+    )
+    sets = named.join(found, "digest").select("id", "set")
+    unnamed = wanted.where(F.col("doc_id").isNull())
+    if not unnamed.isEmpty():
+        nameless = texts.where(F.col("doc_id").isNull()).select("doc_id", "text").mapInArrow(
+            collect_sets, "digest binary, set binary"
+        )
+        once = unnamed.join(nameless, "digest").groupBy("id").agg(F.first("set").alias("set"))
+        sets = sets.union(once)
+    return sets
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs whose full sets reach the threshold.
 
-    texts = docs.join(wanted.hint("shuffle_hash"), "id", "left_semi")
-    sets = written(texts.mapInArrow(collect_sets, "id long, set binary"), "sets")
+    A center's set meets its members' in sorted streams: a task holds one set and
+    one batch. A center with many members gets a copy for each 512 of them.
+    """
+    pairs = written(pairs.select("a", "b"), "pairs")
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    wanted = written(classes.join(ids, "id", "left_semi").select("id", "digest", "doc_id"), "wanted")
+    sets = written(_sets(wanted, texts, width), "sets")
 
     degree = pairs.groupBy("a").agg(F.ceil(F.count("b") / MEMBERS_PER_CENTER).alias("parts"))
     dealt = pairs.join(degree, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")))
@@ -177,6 +231,93 @@ def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
     return stream.mapInArrow(compare, "a long, b long")
 
 
+def _led_pairs(members: DataFrame, sketched: DataFrame, percent: int) -> DataFrame:
+    """Distinct possible pairs ``a < b`` of a bucket's leader and another member."""
+    pairs = members.where("id != leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
+    near = pairs.join(sketched.alias("x"), F.col("a") == F.col("x.id")).join(
+        sketched.alias("y"), F.col("b") == F.col("y.id")
+    )
+    return near.where(_possible("x", "y", percent)).select("a", "b")
+
+
+def _apart(members: DataFrame, labels: DataFrame, sketched: DataFrame, percent: int) -> DataFrame:
+    """Distinct possible pairs ``a < b`` of members of one bucket that lie in different components."""
+    component = F.coalesce("component", "id").alias("component")
+    placed = members.join(labels, F.col("id") == F.col("vertex"), "left").select("key", "id", component)
+    split = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    crowded = placed.join(split.where("low != high").select("key"), "key", "left_semi")
+    crowded = written(crowded.join(sketched.select("id", "n", *_ODD), "id"), "crowded")
+    x, y = crowded.alias("x"), crowded.alias("y")
+    met = x.join(
+        y,
+        (F.col("x.key") == F.col("y.key"))
+        & (F.col("x.id") < F.col("y.id"))
+        & (F.col("x.component") != F.col("y.component"))
+        & _possible("x", "y", percent),
+    )
+    return met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+
+
+def _classified(
+    docs: DataFrame, width: int, percent: int, id_col: str, text_col: str
+) -> tuple[DataFrame, DataFrame]:
+    """(one row per input row: ``doc_id, n_shingles, digest, row``; ``digest, component`` of every class)."""
+    drawn = sketches(docs, width, percent / 100, id_col, text_col)
+    drawn = written(drawn.withColumn("row", F.monotonically_increasing_id()), "sketches")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
+    equal = written(
+        drawn.where(F.col("digest").isNotNull())
+        .groupBy("digest")
+        .agg(F.min("row").alias("id"), F.min("doc_id").alias("doc_id")),
+        "classes",
+    )
+    own = drawn.join(equal.select(F.col("id").alias("row")), "row", "left_semi").select(
+        F.col("row").alias("id"), F.col("n_shingles").alias("n"), "registers", "bands", "odd"
+    )
+    members = written(_bucket_members(own.select("id", "bands")), "members")
+    sketched = written(
+        own.join(members.select("id").distinct(), "id", "left_semi").select(
+            "id", "n", "registers", *[F.element_at("odd", i + 1).alias(o) for i, o in enumerate(_ODD)]
+        ),
+        "sketched",
+    )
+
+    led = written(_led_pairs(members, sketched, percent), "led")
+    links = written(_verified(_estimated(led, sketched, percent), equal, texts, width, percent), "links")
+    labels = components(links)
+    untested = _apart(members, labels, sketched, percent).join(led, ["a", "b"], "left_anti")
+    late = written(_estimated(untested, sketched, percent), "late")
+    if not late.isEmpty():
+        links = written(links.union(_verified(late, equal, texts, width, percent)), "links")
+        labels = components(links)
+
+    component = equal.join(labels, F.col("id") == F.col("vertex"), "left").select(
+        "digest", F.coalesce("component", "id").alias("component")
+    )
+    return drawn.select("doc_id", "n_shingles", "digest", "row"), component
+
+
+def _decided(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept, digest``."""
+    rows, component = _classified(docs, width, percent, id_col, text_col)
+    placed = written(rows.join(component, "digest", "left"), "placed")
+    # The first row of a component: the smallest id, nulls last, and of repeats the one read first.
+    first = (
+        placed.where(F.col("component").isNotNull())
+        .groupBy("component")
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "row")).alias("first"))
+        .select("component", F.col("first.doc_id").alias("_id"), F.col("first.row").alias("_row"))
+    )
+    alone = F.col("component").isNull()
+    return placed.join(first, "component", "left").select(
+        "doc_id",
+        "n_shingles",
+        F.when(alone, F.col("doc_id")).otherwise(F.col("_id")).alias("component_id"),
+        (alone | (F.col("row") == F.col("_row"))).alias("kept"),
+        "digest",
+    )
+
+
 def near_duplicates(
     docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -184,61 +325,55 @@ def near_duplicates(
 
     Documents are linked when their sets of ``width``-word shingles share at least
     ``percent`` of their union; ``component_id`` is the smallest id reachable and
-    ``kept`` marks the row that has it. Null and empty texts and texts without words
-    have an empty set and no link. Rows that repeat an id count as one document
-    with several texts. A null id takes part through equal sets only: its
-    component is that of its copies, else null, and then the row is kept. An empty
-    table gives no rows; other columns are not read.
+    ``kept`` marks one row that has it. Null and empty texts and texts without words
+    have an empty set, no link and stay. Rows that repeat an id are rows of their own:
+    of a component exactly one stays. A null id is larger than any other; a component
+    without any other id has the component null. An empty table gives no rows; other
+    columns are not read.
     """
-    drawn = written(sketches(docs, width, id_col, text_col), "sketches")
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), whole_text(text_col).alias("text"))
-    filled = drawn.where(F.col("digest").isNotNull())
-    equal = filled.groupBy("digest").agg(F.min("doc_id").alias("id"))
-    classes = written(
-        filled.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "digest", "registers", "bands").join(
-            equal.where(F.col("id").isNotNull()).hint("shuffle_hash"), ["digest", "id"], "left_semi"
-        ).dropDuplicates(["digest", "id"]).select("id", "n", "registers", "bands"),
-        "classes",
-    )
-    members = written(_bucket_members(classes), "members")
+    return _decided(docs, width, percent, id_col, text_col).drop("digest")
 
-    led = _estimated(_pairs(members, "id", "leader", "n", "leader_n", percent), classes, percent)
-    links = written(_verified(led, texts, width, percent), "links")
-    labels = components(links)
 
-    # Then pairs of crowded buckets whose members are still apart.
-    crowded = members.where("members > 2").select("key", "id", "n").join(
-        labels.withColumnRenamed("vertex", "id"), "id", "left"
-    ).withColumn("component", F.coalesce("component", "id"))
-    crowded = written(crowded, "crowded")
-    split = crowded.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_ = crowded.join(split.where("low != high").select("key"), "key", "left_semi")
-    left = open_.select("key", "id", "n", "component")
-    right = open_.select("key", F.col("id").alias("other"), F.col("n").alias("other_n"), F.col("component").alias("its"))
-    apart = left.join(right, "key").where(
-        (F.col("id") < F.col("other"))
-        & (F.col("component") != F.col("its"))
-        & (100 * F.least("n", "other_n") >= percent * F.greatest("n", "other_n"))
-    )
-    untested = _pairs(apart, "id", "other", "n", "other_n", percent)
-    untested = untested.join(_pairs(members, "id", "leader", "n", "leader_n", percent), ["a", "b"], "left_anti")
-    late = written(_estimated(untested, classes, percent), "late")
-    if not late.isEmpty():
-        links = written(links.union(_verified(late, texts, width, percent)), "links")
-        labels = components(links)
+def drop_near_duplicates(
+    docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` that stay, one of each group, with all their columns.
 
-    component = equal.join(labels, equal["id"] == labels["vertex"], "left").select(
-        "digest", F.coalesce("component", "id").alias("_component")
+    Rows are matched by id; where an id is null or repeated, by the digest of their set
+    too, and rows without any word stay. Columns may have any name.
+    """
+    decided = written(_decided(docs, width, percent, id_col, text_col), "near")
+    removed = decided.where(~F.col("kept")).select(F.col("doc_id").alias(id_col))
+    unclear = written(
+        decided.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR doc_id IS NULL").select(
+            F.col("doc_id").alias(id_col)
+        ),
+        "unclear",
     )
-    result = drawn.select("doc_id", "n_shingles", "digest").join(component, "digest", "left")
-    component_id = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("_component"))
-    first = F.col("doc_id").eqNullSafe(component_id)
-    return result.select("doc_id", "n_shingles", component_id.alias("component_id"), first.alias("kept"))
-
-
-def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that stay, one of each group, with all their columns."""
-    decided = near_duplicates(docs, width, percent)
-    return without_ids(docs, decided.where(~F.col("kept")).select("doc_id"))
-
+    if unclear.isEmpty():
+        return without_ids(docs, removed, id_col)
+    clear = without_ids(without_ids(docs, unclear, id_col, nulls=True), removed, id_col)
+    again, digest, place = fresh_name(docs, "again"), fresh_name(docs, "digest"), docs.columns.index(text_col)
 
+    def with_digest(batches):
+        hashes = WordHashes()
+        for batch in batches:
+            digests = pa.array([_digest(shingles(t.as_py(), width, hashes)) for t in batch.column(place)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, digests], names=[*batch.schema.names, digest])
+
+    names = built_side(unclear.withColumnRenamed(id_col, again))
+    rows = docs.join(names, docs[quoted(id_col)].cast("long").eqNullSafe(names[again]), "left_semi")
+    rows = map_rows(rows.select(*every_column(docs)), with_digest, T.StructField(digest, T.BinaryType()))
+    wordless = rows.where(F.col(quoted(digest)).isNull())
+    stay = decided.where(F.col("kept") & F.col("digest").isNotNull()).select(
+        F.col("doc_id").alias(again), F.col("digest").alias(f"{digest}_kept")
+    )
+    worded = rows.where(F.col(quoted(digest)).isNotNull()).dropDuplicates([id_col, digest])
+    worded = worded.join(
+        stay,
+        worded[quoted(id_col)].cast("long").eqNullSafe(stay[again])
+        & (worded[quoted(digest)] == stay[f"{digest}_kept"]),
+        "left_semi",
+    )
+    columns = [F.col(quoted(c)) for c in docs.columns]
+    return clear.union(wordless.select(columns)).union(worded.select(columns))

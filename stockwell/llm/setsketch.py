@@ -5,6 +5,10 @@ h_i are independent exponential values: minima on an exponentially spaced
 scale, cut to a fixed range. Registers of a union are the larger of both, so
 sketches merge, and two registers are equal almost as often as the sets are
 alike, so groups of them serve as hash bands.
+
+An odd sketch (Mitzenmacher et al., 2014) goes with them: one bit for each class of
+hashes, set where the set holds an odd number of them. Bits in which two
+sets differ are never more than the elements in which they differ.
 """
 
 from __future__ import annotations
@@ -14,18 +18,18 @@ import math
 import numpy as np
 import xxhash
 
-REGISTERS = 128
+REGISTERS = 512
 #: The scale's base and the rate and top of the register range.
 BASE, RATE, TOP = 1.01, 20.0, 65_535
-#: Registers of one band. At a similarity of 0.8 all bands miss once in 2e7 pairs.
-BAND_ROWS = 4
-_CHUNK = 2048
+#: All bands of a pair at the threshold miss with at most this probability.
+MISS = 1e-6
+#: Words of 64 bits in an odd sketch.
+ODD_WORDS = 8
+#: Time after which a register is empty once in e^3 sets, and draws made at a time.
+_SPARE, _DRAWS = 3.0, 1 << 14
 #: A worker remembers the hashes of at most so many words.
 CACHED_WORDS = 1_000_000
 
-_seeds = np.random.RandomState(20_211)
-_MULTIPLY = (_seeds.randint(0, 2**31, REGISTERS).astype(np.uint32) * np.uint32(2)) + np.uint32(1)
-_FLIP = _seeds.randint(0, 2**31, REGISTERS).astype(np.uint32) * np.uint32(2)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -64,28 +68,63 @@ def shingles(text: str | None, width: int, hashes: WordHashes) -> np.ndarray:
 
 
 def registers(elements: np.ndarray) -> np.ndarray:
-    """The sketch of a non-empty set of 64-bit hashes, as unsigned 16-bit numbers."""
-    low = np.full(REGISTERS, 0xFFFFFFFF, np.uint32)
-    short = (elements >> np.uint64(32)).astype(np.uint32)
-    for at in range(0, len(short), _CHUNK):
-        block = short[at : at + _CHUNK, None] * _MULTIPLY
-        block ^= _FLIP
-        np.minimum(low, block.min(axis=0), out=low)
-    uniform = (low.astype(np.float64) + 0.5) / 2.0**32
-    smallest = -np.log1p(-uniform) / RATE
-    levels = np.floor(1 - np.log(smallest) / math.log(BASE))
+    """The sketch of a non-empty set of 64-bit hashes, as unsigned 16-bit numbers.
+
+    Each element draws points in time at the rate of all registers together, each
+    point for a register of its own: a register's first point is then exponential and
+    independent of the others'. Points are drawn in order and only up to a time by
+    which nearly always every register has one, so a set of n elements costs n draws
+    and some m log m more, not n times m.
+    """
+    end = (math.log(REGISTERS) + _SPARE) / len(elements)
+    while True:
+        first = _first_points(elements, end)
+        if np.isfinite(first).all():
+            break
+        end *= 2
+    levels = np.floor(1 - np.log(first / RATE) / math.log(BASE))
     return np.clip(levels, 0, TOP).astype(np.uint16)
 
 
-def bands(sketch: np.ndarray) -> np.ndarray:
-    """One signed 64-bit key for each band of registers."""
-    rows = sketch.reshape(-1, BAND_ROWS).astype(np.uint64)
-    h = np.arange(len(rows), dtype=np.uint64)
-    for i in range(BAND_ROWS):
-        h = _mixed(h * _STEP + rows[:, i])
+def _first_points(elements: np.ndarray, end: float) -> np.ndarray:
+    first = np.full(REGISTERS, np.inf)
+    left, reached, drawn = elements, np.zeros(len(elements)), 0
+    while len(left):
+        expected = REGISTERS * max(0.0, end - float(reached.min()))
+        steps = max(1, min(int(expected + 3 * math.sqrt(expected)) + 1, _DRAWS // len(left)))
+        numbers = np.arange(drawn + 1, drawn + steps + 1, dtype=np.uint64)
+        draws = _mixed(left[:, None] + _STEP * numbers[None, :])
+        uniform = ((draws >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53
+        times = reached[:, None] + np.cumsum(-np.log(uniform) / REGISTERS, axis=1)
+        early = times <= end
+        np.minimum.at(first, (draws[early] & np.uint64(REGISTERS - 1)).astype(np.int64), times[early])
+        on = early[:, -1]
+        left, reached, drawn = left[on], times[on, -1], drawn + steps
+    return first
+
+
+def band_rows(threshold: float) -> int:
+    """The most registers a band may have so that all bands miss rarely enough at ``threshold``."""
+    return max(r for r in range(1, 65) if r == 1 or (1 - threshold**r) ** (REGISTERS // r) <= MISS)
+
+
+def bands(sketch: np.ndarray, rows: int) -> np.ndarray:
+    """One signed 64-bit key for each band of ``rows`` registers."""
+    count = REGISTERS // rows
+    own = sketch[: count * rows].reshape(count, rows).astype(np.uint64)
+    h = np.arange(count, dtype=np.uint64)
+    for i in range(rows):
+        h = _mixed(h * _STEP + own[:, i])
     return h.view(np.int64)
 
 
+def odd_sketch(elements: np.ndarray) -> np.ndarray:
+    """The parities of the elements' hash classes, as signed 64-bit words."""
+    classes = (elements >> np.uint64(20)).astype(np.int64) % (64 * ODD_WORDS)
+    odd = np.bincount(classes, minlength=64 * ODD_WORDS) % 2
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def likely_similarity(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
     """Maximum-likelihood Jaccard similarity of sketch rows with known set sizes.
 

@@ -20,6 +20,7 @@ from stockwell.llm import (
     packing,
     queries,
     secrets,
+    setsketch,
     urls,
 )
 from stockwell.llm.common import tokenizer_file
@@ -350,3 +351,91 @@ def test_embedding_links(spark):
     for vec in range(400, 406):
         assert (rows[vec].n_links, rows[vec].component_id, rows[vec].kept) == (0, vec, True)
     assert embedding_dedup.embedding_links(df.limit(0)).count() == 0
+
+
+def test_row_keeping_functions_take_any_column_names(spark):
+    names = ["_copy", "_times", "_digest", "_id", "_removed", "_again", "a.b", "_source"]
+    schema = "doc_id long, text string, source string, " + ", ".join(f"`{n}` int" for n in names)
+    given = [(1, "x y z"), (1, "x  y z"), (2, "x y z"), (3, BASE), (4, NEAR), (None, BASE), (None, "q r s"), (5, "")]
+    docs = spark.createDataFrame([(i, t, "s", *range(42, 42 + len(names))) for i, t in given], schema)
+
+    def ids(df):
+        assert df.columns == docs.columns
+        rows = df.collect()
+        assert all(tuple(r)[3:] == tuple(range(42, 42 + len(names))) for r in rows)
+        return sorted((r.doc_id is None, r.doc_id) for r in rows)
+
+    assert ids(exact_dedup.drop_exact_duplicates(docs)) == [(False, i) for i in (1, 3, 4, 5)] + [(True, None)]
+    assert ids(near_dedup.drop_near_duplicates(docs)) == [(False, 1), (False, 3), (False, 5), (True, None)]
+    model = language_id.LanguageModel(["xx"], np.zeros((language_id.BUCKETS, 1), np.float32), np.zeros(1))
+    assert len(ids(language_id.keep_identified(docs, model, 0.5))) == len(given) - 1
+    assert {i for i, _ in ids(mixing.apply_mix(docs))} == {False, True}
+
+
+def test_near_dedup_of_repeated_and_null_ids(spark):
+    other = " ".join(f"v{i}" for i in range(300))
+    edited = other.replace("v100 ", "w100 ")
+    given = [(1, BASE), (1, other), (2, NEAR), (3, edited), (None, BASE.upper()), (None, "lone words here"), (None, "Lone words here"), (4, "")]
+    rows = near_dedup.near_duplicates(spark.createDataFrame(given, "doc_id long, text string").repartition(4), 3, 85).collect()
+    found = sorted(((r.doc_id, r.component_id, r.kept) for r in rows), key=repr)
+    # The two texts of id 1 are two components, each with id 1.
+    assert found == sorted(
+        [(1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (None, 1, False), (None, None, True), (None, None, False), (4, 4, True)],
+        key=repr,
+    )
+    stay = near_dedup.drop_near_duplicates(spark.createDataFrame(given, "doc_id long, text string"), 3, 85).collect()
+    assert sorted((r.doc_id, len(r.text)) for r in stay if r.doc_id) == sorted([(1, len(BASE)), (1, len(other)), (4, 0)])
+    assert len(stay) == 4
+
+
+def _components_brute(rows, width, percent):
+    """Smallest id of each component, over all pairs that share a word shingle."""
+    sets = {}
+    for i, text in rows:
+        words = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        words = [w for w in re.split(r"[\x20\x09-\x0D]+", words) if w]
+        used = min(width, len(words))
+        sets[i] = frozenset(tuple(words[k : k + used]) for k in range(len(words) - used + 1)) if words else frozenset()
+    holders = {}
+    for i, own in sets.items():
+        for shingle in own:
+            holders.setdefault(shingle, []).append(i)
+    parent = {i: i for i in sets}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, own in sets.items():
+        shared = Counter(j for shingle in own for j in holders[shingle] if j < i)
+        for j, n in shared.items():
+            if 100 * n >= percent * (len(own) + len(sets[j]) - n):
+                a, b = root(i), root(j)
+                parent[max(a, b)] = min(a, b)
+    return {i: (len(own), root(i)) for i, own in sets.items()}
+
+
+@pytest.mark.parametrize(("width", "percent"), [(3, 85), (5, 80)])
+def test_near_dedup_of_a_whole_table_equals_brute_force(spark, width, percent):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    given = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(docs, width, percent).collect()}
+    assert found == _components_brute(given, width, percent)
+
+
+def test_sketches_estimate_and_bound(spark):
+    rng = np.random.RandomState(1)
+    pool = np.unique(rng.randint(0, 2**63, 3000).astype(np.uint64))
+    for size in (1, 30, 400, 2000):
+        for shared in (0.2, 0.6, 0.9):
+            a = pool[:size]
+            b = np.sort(np.concatenate([a[: int(size * shared)], pool[2000 : 2000 + size - int(size * shared)]]))
+            true = int(size * shared) / (2 * size - int(size * shared))
+            equal = (setsketch.registers(a) == setsketch.registers(b)).mean()
+            assert abs(equal - true) < 0.12
+            bits = np.bitwise_count(setsketch.odd_sketch(a) ^ setsketch.odd_sketch(b)).sum()
+            assert bits <= 2 * (size - int(size * shared))
+    union = np.maximum(setsketch.registers(pool[:700]), setsketch.registers(pool[500:1500]))
+    assert (union == setsketch.registers(pool[:1500])).all()
+    assert [setsketch.band_rows(t) for t in (0.8, 0.85)] == [7, 9]
