@@ -89,6 +89,39 @@ SELECT conv_id,
 FROM lengths GROUP BY conv_id
 """
 
+RANKED_SEARCH = r"""
+WITH worded AS (
+  SELECT row_number() OVER () AS place, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), sized AS (
+  SELECT place, doc_id, terms, len(terms) AS n FROM worded WHERE len(terms) > 0
+), totals AS (
+  SELECT count(*) AS all_docs, CAST(sum(n) AS BIGINT) AS all_terms FROM sized
+), occurrences AS (
+  SELECT place, doc_id, n, term, count(*) AS tf
+  FROM (SELECT place, doc_id, n, unnest(terms) AS term FROM sized) GROUP BY ALL
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2.0 * any_value(all_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM occurrences, totals GROUP BY term
+), wanted AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all(
+          translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY ALL
+), scored AS (
+  SELECT item_id, place, doc_id,
+         CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * all_docs) // all_terms)))) AS BIGINT)
+           AS score
+  FROM wanted JOIN weights USING (term) JOIN occurrences USING (term), totals GROUP BY ALL
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank,
+       doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10
+"""
+
 
 def llm_oracles():
-    return {"op4_chat_format": CHAT, "op6_exact_dedup": EXACT_DEDUP, "op8_mixing": MIXING}
+    return {"op4_chat_format": CHAT, "op6_exact_dedup": EXACT_DEDUP, "op8_mixing": MIXING, "op11_ranked_search": RANKED_SEARCH}

@@ -9,6 +9,7 @@ from stockwell.llm import (
     embedding_dedup,
     exact_dedup,
     language_id,
+    lexical,
     licenses,
     mixing,
     near_dedup,
@@ -65,6 +66,10 @@ def op10_embedding_dedup(spark, sf_dir):
     return embedding_dedup.embedding_links(table(spark, sf_dir, "embeddings"))
 
 
+def op11_ranked_search(spark, sf_dir):
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def llm_queries():
     return {
         "op1_license_scan": op1_license_scan,
@@ -77,4 +82,5 @@ def llm_queries():
         "op8_mixing": op8_mixing,
         "op9_packing": op9_packing,
         "op10_embedding_dedup": op10_embedding_dedup,
+        "op11_ranked_search": op11_ranked_search,
     }
