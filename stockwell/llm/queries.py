@@ -16,6 +16,7 @@ from stockwell.llm import (
     packing,
     secrets,
     urls,
+    vector_codes,
 )
 from stockwell.llm.common import table
 
@@ -70,6 +71,10 @@ def op11_ranked_search(spark, sf_dir):
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_vector_codes(spark, sf_dir):
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
 def llm_queries():
     return {
         "op1_license_scan": op1_license_scan,
@@ -83,4 +88,5 @@ def llm_queries():
         "op9_packing": op9_packing,
         "op10_embedding_dedup": op10_embedding_dedup,
         "op11_ranked_search": op11_ranked_search,
+        "op13_vector_codes": op13_vector_codes,
     }
