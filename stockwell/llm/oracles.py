@@ -123,5 +123,43 @@ FROM scored WHERE score > 0 QUALIFY rank <= 10
 """
 
 
+def _vector_codes() -> str:
+    """Four rounds of assignment to the nearest entry and its floor mean, then a last assignment."""
+    steps = [
+        r"""numbered AS (
+  SELECT *, row_number() OVER (ORDER BY vec_id) - 1 AS place FROM embeddings
+  WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+), spread AS MATERIALIZED (
+  SELECT place, (i - 1) // 16 AS part, (i - 1) % 16 AS position, CAST(floor(1024 * CAST(embedding[i] AS DOUBLE)) AS BIGINT) AS x
+  FROM numbered, range(1, 65) AS r(i)
+), book0 AS (
+  SELECT part, place AS entry, position, x FROM spread WHERE place < 256
+)"""
+    ]
+    for i in range(5):
+        steps.append(
+            f"""far{i} AS (
+  SELECT s.place, s.part, b.entry, sum((s.x - b.x) * (s.x - b.x)) AS d
+  FROM spread s JOIN book{i} b ON b.part = s.part AND b.position = s.position GROUP BY ALL
+), near{i} AS MATERIALIZED (
+  SELECT place, part, min({{'d': d, 'entry': entry}}) AS best FROM far{i} GROUP BY ALL
+), book{i + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, b.position, coalesce(m.x, b.x) AS x
+  FROM book{i} b LEFT JOIN (
+    SELECT n.part, n.best.entry AS entry, s.position, CAST(floor(CAST(sum(s.x) AS DOUBLE) / count(*)) AS BIGINT) AS x
+    FROM near{i} n JOIN spread s ON s.place = n.place AND s.part = n.part GROUP BY ALL) m
+  ON m.part = b.part AND m.entry = b.entry AND m.position = b.position
+)"""
+        )
+    return "WITH " + ", ".join(steps) + """, coded AS (
+  SELECT place, string_agg(printf('%02x', CAST(best.entry AS INTEGER)), '' ORDER BY part) AS code, CAST(sum(best.d) AS BIGINT) AS error
+  FROM near4 GROUP BY place
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY part, entry, position)) FROM book4) AS codebooks_sha256
+FROM coded JOIN numbered USING (place)
+"""
+
+
 def llm_oracles():
-    return {"op4_chat_format": CHAT, "op6_exact_dedup": EXACT_DEDUP, "op8_mixing": MIXING, "op11_ranked_search": RANKED_SEARCH}
+    return {"op4_chat_format": CHAT, "op6_exact_dedup": EXACT_DEDUP, "op8_mixing": MIXING, "op11_ranked_search": RANKED_SEARCH, "op13_vector_codes": _vector_codes()}

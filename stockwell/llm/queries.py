@@ -15,6 +15,7 @@ from stockwell.llm import (
     near_dedup,
     packing,
     secrets,
+    toxicity,
     urls,
     vector_codes,
 )
@@ -71,6 +72,10 @@ def op11_ranked_search(spark, sf_dir):
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_toxicity(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_vector_codes(spark, sf_dir):
     return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
 
@@ -88,5 +93,6 @@ def llm_queries():
         "op9_packing": op9_packing,
         "op10_embedding_dedup": op10_embedding_dedup,
         "op11_ranked_search": op11_ranked_search,
+        "op12_toxicity": op12_toxicity,
         "op13_vector_codes": op13_vector_codes,
     }
