@@ -51,6 +51,13 @@ def fresh_name(docs: DataFrame, stem: str) -> str:
     return name
 
 
+def sliced(batches, rows: int):
+    """Arrow batches cut to at most ``rows`` rows, so that what is made of one stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def map_rows(docs: DataFrame, function, *added: T.StructField) -> DataFrame:
     """``docs.mapInArrow(function)`` with all its columns, and ``added`` ones, whatever their names are."""
     fields = [T.StructField(f"c{i}", f.dataType) for i, f in enumerate(docs.schema.fields)]

@@ -41,7 +41,7 @@ LAST_ID = 2**63 - 1
 #: Terms in UTF-8: ASCII letters and digits, and all that is not ASCII.
 TERM = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 #: A worker remembers the hashes of at most so many terms.
-CACHED_TERMS = 1_000_000
+CACHED_TERMS = 100_000
 
 
 class TermKeys(dict):

@@ -34,6 +34,7 @@ from stockwell.llm.common import (
     fresh_name,
     map_rows,
     quoted,
+    sliced,
     whole_text,
     without_ids,
     written,
@@ -55,6 +56,8 @@ from stockwell.llm.setsketch import (
 DEVIATIONS = 6
 #: Members compared with one copy of a center's shingle set.
 MEMBERS_PER_CENTER = 512
+#: Texts whose sets or sketches a task holds at once.
+TEXTS_AT_A_TIME = 512
 _ODD = [f"odd{i}" for i in range(ODD_WORDS)]
 
 
@@ -70,7 +73,7 @@ def sketches(
 
     def sketch(batches):
         hashes = WordHashes()
-        for batch in batches:
+        for batch in sliced(batches, TEXTS_AT_A_TIME):
             rows = []
             for text in batch.column(1):
                 found = shingles(text.as_py(), width, hashes)
@@ -79,7 +82,7 @@ def sketches(
                     continue
                 drawn = registers(found)
                 rows.append((len(found), _digest(found), drawn.tobytes(), bands(drawn, rows_of_band), odd_sketch(found)))
-            sizes, digests, drawn, keys, odd = zip(*rows) if rows else ((),) * 5
+            sizes, digests, drawn, keys, odd = zip(*rows)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -165,7 +168,7 @@ def _sets(wanted: DataFrame, texts: DataFrame, width: int) -> DataFrame:
 
     def collect_sets(batches):
         hashes = WordHashes()
-        for batch in batches:
+        for batch in sliced(batches, TEXTS_AT_A_TIME):
             sets = [shingles(t.as_py(), width, hashes) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([_digest(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
@@ -357,7 +360,7 @@ def drop_near_duplicates(
 
     def with_digest(batches):
         hashes = WordHashes()
-        for batch in batches:
+        for batch in sliced(batches, TEXTS_AT_A_TIME):
             digests = pa.array([_digest(shingles(t.as_py(), width, hashes)) for t in batch.column(place)], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, digests], names=[*batch.schema.names, digest])
 

@@ -28,7 +28,7 @@ ODD_WORDS = 8
 #: Time after which a register is empty once in e^3 sets, and draws made at a time.
 _SPARE, _DRAWS = 3.0, 1 << 14
 #: A worker remembers the hashes of at most so many words.
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 100_000
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 

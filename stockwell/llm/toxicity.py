@@ -39,7 +39,7 @@ SAMPLE_ROWS = 4_000
 THRESHOLD = 0.3
 WORDS = re.compile(r"[^\W_]+")
 #: A worker remembers the scores of at most so many words.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 100_000
 
 # Identity terms by kind: fixed values, any of which may stand for another of its line.
 IDENTITIES = (
