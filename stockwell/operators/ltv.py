@@ -17,7 +17,7 @@ from stockwell.functions import (
     round_half_even,
     run_timestamp,
 )
-from stockwell.operators.ranking import ordered
+from stockwell.operators.ranking import Order, with_orders
 from stockwell.params import LTV_RUNNER, LTV_SQL
 
 STAGE_COLUMNS = (
@@ -118,14 +118,14 @@ def ltv_ranks(scored: DataFrame) -> DataFrame:
 
     NULL counts as the largest value. Equal scores are numbered by customer_id.
     """
-    by_score = ordered(
-        scored,
+    by_score = Order(
         "ltv_score",
-        F.col("customer_id").desc(),
+        "customer_id",
+        tie_descending=True,
         percent_rank="ltv_pct_rank",
         reverse_row_number="ltv_global_rank",
     )
-    return ordered(by_score, "total_revenue", F.col("customer_id"), percent_rank="revenue_pct_rank")
+    return with_orders(scored, by_score, Order("total_revenue", "customer_id", percent_rank="revenue_pct_rank"))
 
 
 def ltv_stage(scored: DataFrame, run_ts) -> DataFrame:

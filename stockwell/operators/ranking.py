@@ -1,16 +1,18 @@
-"""Global order without a single-task window.
-
-Rows are range-partitioned on (value, tie break) and written once to the
-shared folder with the number of their slice. The tie break makes the sort key
-unique, so a value held by a third of the rows spreads over many slices. One
-small row per slice then comes back to the driver (the number of slices is
-bounded by the session's shuffle partitions, never by the data), which turns
-local windows over each slice into global positions and running totals.
+"""Global order without a single-task window, on narrow rows.
+
+The rows are written once, numbered, to the shared folder. Only the number, the value and
+the tie break are then range-partitioned, sorted within their slice and written with their place in it. The
+tie break makes the sort key unique, so a value held by a third of the rows spreads over
+many slices. One small row per slice comes to the driver (the number of slices is
+bounded by the session's shuffle partitions, never by the data), which turns places in a
+slice into global positions. Ties and running totals take a window over each slice. The
+wide rows meet the result by their number; several orders share one file of them.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 from decimal import Decimal, localcontext
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,9 +21,10 @@ from pyspark.sql import types as T
 
 from stockwell.functions import abc_class
 from stockwell.params import ABC_THRESHOLDS
-from stockwell.session import checkpointed
+from stockwell.schemas import exact
+from stockwell.session import materialized
 
-_SLICE = "_slice"
+_ROW, _SLICE, _PLACE = "_row", "_slice", "_place"
 
 
 def _same(a, b) -> bool:
@@ -68,48 +71,68 @@ def _tie_starts(slices: DataFrame, value: str, summary: list) -> list[int | None
     return starts
 
 
-def ordered(
-    df: DataFrame,
-    value: str,
-    tie_break: Column,
-    *,
-    descending: bool = False,
-    row_number: str | None = None,
-    reverse_row_number: str | None = None,
-    percent_rank: str | None = None,
-    running_total: str | None = None,
-    running_share: str | None = None,
-) -> DataFrame:
-    """Add positions in the order of ``value`` over the whole table.
-
-    NULL is the largest value in either direction. ``tie_break`` must make
-    rows unique and is applied as given. A NULL adds nothing to the running
-    total, and the share is NULL when the total is zero.
+@dataclass(frozen=True)
+class Order:
+    """One order over a table, and the names of the columns to add from it.
+
+    NULL is the largest value in either direction. ``tie_break`` must make rows unique. A
+    NULL adds nothing to the running total, and the share is NULL when the total is
+    zero. A value that is no decimal is summed with ``scale`` places, and one that has
+    more fails the running job.
     """
-    value_order = F.col(value).desc_nulls_first() if descending else F.col(value).asc_nulls_last()
-    slices = checkpointed(
-        df.repartitionByRange(value_order, tie_break).withColumn(_SLICE, F.spark_partition_id())
+
+    value: str
+    tie_break: str | Column
+    descending: bool = False
+    tie_descending: bool = False
+    row_number: str | None = None
+    reverse_row_number: str | None = None
+    percent_rank: str | None = None
+    running_total: str | None = None
+    running_share: str | None = None
+    scale: int = 4
+
+    @property
+    def added(self) -> list[str]:
+        names = (self.row_number, self.reverse_row_number, self.percent_rank, self.running_total, self.running_share)
+        return [n for n in names if n]
+
+    @property
+    def sums(self) -> bool:
+        return bool(self.running_total or self.running_share)
+
+
+def _places(rows: DataFrame, order: Order) -> DataFrame:
+    """``_row`` and the added columns of ``order`` over ``rows``, which have a column ``_row``."""
+    tie = F.col(order.tie_break) if isinstance(order.tie_break, str) else order.tie_break
+    value = F.col(order.value)
+    amount = exact(rows, order.value, order.scale) if order.sums else F.lit(0)
+    narrow = rows.select(_ROW, value.alias("_value"), tie.alias("_tie"), *([amount.alias("_amount")] * order.sums))
+    value_order = F.col("_value").desc_nulls_first() if order.descending else F.col("_value").asc_nulls_last()
+    tie_order = F.col("_tie").desc() if order.tie_descending else F.col("_tie").asc()
+    sorted_rows = narrow.repartitionByRange(value_order, tie_order).sortWithinPartitions(value_order, tie_order)
+    number = F.monotonically_increasing_id()
+    slices = materialized(
+        sorted_rows.withColumns({_SLICE: F.shiftright(number, 33).cast("int"), _PLACE: number.bitwiseAND((1 << 33) - 1)}),
+        "slices",
     )
-    key = F.struct(F.col(value).isNull().alias("missing"), F.col(value).alias("v"))
-    low, high = (F.max(key), F.min(key)) if descending else (F.min(key), F.max(key))
-    wants_sum = bool(running_total or running_share)
-    value_type = df.schema[value].dataType
-    scale = value_type.scale if isinstance(value_type, T.DecimalType) else 4
-    total_type = T.DecimalType(38, scale) if wants_sum else T.LongType()
-    total = F.coalesce(F.sum(value), F.lit(0)).cast(total_type) if wants_sum else F.lit(0).cast(total_type)
+    key = F.struct(F.col("_value").isNull().alias("missing"), F.col("_value").alias("v"))
+    low, high = (F.max(key), F.min(key)) if order.descending else (F.min(key), F.max(key))
+    total_type = T.DecimalType(38, slices.schema["_amount"].dataType.scale) if order.sums else T.LongType()
+    total = F.coalesce(F.sum("_amount"), F.lit(0)) if order.sums else F.lit(0)
     summary = sorted(
         slices.groupBy(_SLICE)
-        .agg(F.count(F.lit(1)).alias("n"), total.alias("total"), low.alias("low"), high.alias("high"))
+        .agg(F.count(F.lit(1)).alias("n"), total.cast(total_type).alias("total"), low.alias("low"), high.alias("high"))
         .collect(),
         key=lambda r: r[_SLICE],
     )
-    starts = _tie_starts(slices, value, summary) if percent_rank else [None] * len(summary)
+    starts = _tie_starts(slices, "_value", summary) if order.percent_rank else [None] * len(summary)
 
-    rows = sum(r["n"] for r in summary)
+    rows_in_all = sum(r["n"] for r in summary)
     # The columns hold 38 digits, Decimal's default context only 28.
     with localcontext(prec=38):
-        grand_total = sum((r["total"] for r in summary), Decimal(0) if wants_sum else 0)
-        offsets, seen, summed = [], 0, Decimal(0) if wants_sum else 0
+        grand_total = sum((r["total"] for r in summary), Decimal(0) if order.sums else 0)
+        offsets, seen, summed = [], 0, Decimal(0) if order.sums else 0
         for r, start in zip(summary, starts):
             offsets.append((r[_SLICE], seen, summed, r["low"]["v"], start))
             seen += r["n"]
@@ -119,42 +142,50 @@ def ordered(
             T.StructField(_SLICE, T.IntegerType()),
             T.StructField("_rows_before", T.LongType()),
             T.StructField("_total_before", total_type),
-            T.StructField("_first_value", value_type),
+            T.StructField("_first_value", slices.schema["_value"].dataType),
             T.StructField("_tie_start", T.LongType()),
         ]
     )
-    table = slices.sparkSession.createDataFrame(offsets, schema)
-    placed = slices.join(F.broadcast(table), _SLICE)
-
-    in_slice = Window.partitionBy(_SLICE).orderBy(value_order, tie_break)
-    by_value = Window.partitionBy(_SLICE).orderBy(value_order)
-    position = F.col("_rows_before") + F.row_number().over(in_slice)
+    placed = slices.join(F.broadcast(slices.sparkSession.createDataFrame(offsets, schema)), _SLICE)
+    position = F.col("_rows_before") + F.col(_PLACE) + 1
     added: dict[str, Column] = {}
-    if row_number:
-        added[row_number] = position
-    if reverse_row_number:
-        added[reverse_row_number] = F.lit(rows + 1) - position
-    if percent_rank:
-        carried = F.col("_tie_start").isNotNull() & F.col(value).eqNullSafe(F.col("_first_value"))
-        rank = F.when(carried, F.col("_tie_start")).otherwise(
-            F.col("_rows_before") + F.rank().over(by_value)
-        )
-        added[percent_rank] = (rank - 1).cast("double") / F.lit(float(max(rows - 1, 1)))
-    if wants_sum:
-        running = F.col("_total_before") + F.coalesce(
-            F.sum(value).over(in_slice.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-            F.lit(0),
-        )
-        if running_total:
-            added[running_total] = running.cast(total_type)
-        if running_share:
-            added[running_share] = (
+    if order.row_number:
+        added[order.row_number] = position
+    if order.reverse_row_number:
+        added[order.reverse_row_number] = F.lit(rows_in_all + 1) - position
+    if order.percent_rank:
+        # The place in the slice at which the run of equal values begins.
+        ties = Window.partitionBy(_SLICE, "_value")
+        carried = F.col("_tie_start").isNotNull() & F.col("_value").eqNullSafe(F.col("_first_value"))
+        rank = F.when(carried, F.col("_tie_start")).otherwise(F.col("_rows_before") + F.min(_PLACE).over(ties) + 1)
+        added[order.percent_rank] = (rank - 1).cast("double") / F.lit(float(max(rows_in_all - 1, 1)))
+    if order.sums:
+        in_slice = Window.partitionBy(_SLICE).orderBy(_PLACE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        running = F.col("_total_before") + F.coalesce(F.sum("_amount").over(in_slice), F.lit(0))
+        if order.running_total:
+            added[order.running_total] = running.cast(total_type)
+        if order.running_share:
+            added[order.running_share] = (
                 running.cast("double") / F.lit(float(grand_total))
                 if grand_total
                 else F.lit(None).cast("double")
             )
-    kept = [c for c in df.columns if c not in added]
-    return placed.withColumns(added).select(*kept, *added)
+    return placed.select(_ROW, *[c.alias(n) for n, c in added.items()])
+
+
+def with_orders(df: DataFrame, *orders: Order) -> DataFrame:
+    """``df`` with the added columns of all ``orders``; a column of the same name is replaced."""
+    names = [n for order in orders for n in order.added]
+    stage = materialized(df.withColumn(_ROW, F.monotonically_increasing_id()), "ordered")
+    result = stage.select(_ROW, *[c for c in df.columns if c not in names])
+    for order in orders:
+        result = result.join(_places(stage, order), _ROW)
+    return result.drop(_ROW)
+
+
+def ordered(df: DataFrame, value: str, tie_break: str | Column, **options) -> DataFrame:
+    """:func:`with_orders` for a single :class:`Order`."""
+    return with_orders(df, Order(value, tie_break, **options))
 
 
 def cumulative_share(df: DataFrame, value: str, tie_break: str) -> DataFrame:
@@ -162,7 +193,7 @@ def cumulative_share(df: DataFrame, value: str, tie_break: str) -> DataFrame:
     return ordered(
         df,
         value,
-        F.col(tie_break),
+        tie_break,
         descending=True,
         running_total="cumulative_revenue",
         running_share="cumulative_revenue_pct",
@@ -171,7 +202,5 @@ def cumulative_share(df: DataFrame, value: str, tie_break: str) -> DataFrame:
 
 def abc_classify(df: DataFrame, value: str, tie_break: str, thresholds=ABC_THRESHOLDS) -> DataFrame:
     """Add ``cumulative_revenue_pct`` and ``abc_class`` by share of ``value``."""
-    shared = ordered(
-        df, value, F.col(tie_break), descending=True, running_share="cumulative_revenue_pct"
-    )
+    shared = ordered(df, value, tie_break, descending=True, running_share="cumulative_revenue_pct")
     return shared.withColumn("abc_class", abc_class(F.col("cumulative_revenue_pct"), thresholds))

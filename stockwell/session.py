@@ -55,3 +55,10 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder once and continue from the files."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def materialized(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder once as Parquet, so that later reads take only the columns they need."""
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -114,3 +114,48 @@ def test_shares_never_fall(spark):
     got = sorted(cumulative_share(df, "v", "id").collect(), key=lambda r: (-r["v"], r["id"]))
     shares = [r["cumulative_revenue_pct"] for r in got]
     assert shares == sorted(shares) and shares[-1] == 1.0
+
+
+def test_doubles_are_summed_exactly_or_refused(spark):
+    df = table(spark, [6e-5, 5e-5, 3e-5], "double")
+    got = {r["id"]: r for r in ordered(df, "v", "id", descending=True, running_share="share", scale=5).collect()}
+    assert [got[i]["share"] for i in range(3)] == pytest.approx([6 / 14, 11 / 14, 1.0])
+    with pytest.raises(Exception, match="does not fit"):
+        cumulative_share(df, "v", "id").collect()
+    halves = table(spark, [0.5, 0.25, 0.25], "double")
+    assert sorted(r["abc_class"] for r in abc_classify(halves, "v", "id").collect()) == ["A", "A", "C"]
+
+
+def exchanges(df):
+    return [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in line]
+
+
+def test_only_narrow_rows_are_sorted_and_one_file_serves_both_ranks(spark, monkeypatch):
+    from stockwell.operators import ranking
+
+    written, plans = [], []
+
+    def recorded(df, name, real=ranking.materialized):
+        written.append((name, df.columns))
+        plans.append((name, exchanges(df)))
+        return real(df, name)
+
+    monkeypatch.setattr(ranking, "materialized", recorded)
+    scored = table(spark, range(40)).select(
+        F.col("id").alias("customer_id"), F.col("v").cast("double").alias("ltv_score"), F.col("v").alias("total_revenue"),
+        *[F.lit("wide").alias(f"wide{i}") for i in range(10)],
+    )
+    result = ltv_ranks(scored)
+    assert result.count() == 40 and set(scored.columns) < set(result.columns)
+    assert [name for name, _ in written] == ["ordered", "slices", "slices"]
+    assert all("wide0" not in columns for name, columns in written if name == "slices")
+    for name, found in plans:
+        if name == "slices":
+            assert len(found) == 1 and "rangepartitioning" in found[0]
+
+
+def test_position_needs_no_window(spark):
+    df = ordered(table(spark, range(50)), "v", "id", row_number="rn", reverse_row_number="back")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "rangepartitioning" not in plan
+    assert sorted(r["rn"] for r in df.collect()) == list(range(1, 51))
