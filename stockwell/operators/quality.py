@@ -43,12 +43,12 @@ def missing_rows(expected: DataFrame, actual: DataFrame, keys) -> DataFrame:
 
 
 def skipped_updates(raw: DataFrame, curated: DataFrame) -> DataFrame:
-    """Ids whose newest RAW event is newer than the newest CURATED one."""
+    """Ids whose newest RAW event is newer than the newest CURATED one; a NULL id is an id like any other."""
     newest_raw = raw.groupBy("id").agg(F.max("event_ts").alias("raw_ts"))
     newest_curated = curated.groupBy("id").agg(F.max("event_ts").alias("curated_ts"))
-    return newest_raw.join(newest_curated, "id", "left").filter(
-        F.col("curated_ts").isNull() | (F.col("raw_ts") > F.col("curated_ts"))
-    )
+    newest_curated = newest_curated.withColumnRenamed("id", "_id")
+    joined = newest_raw.join(newest_curated, F.col("id").eqNullSafe(F.col("_id")), "left").drop("_id")
+    return joined.filter(F.col("curated_ts").isNull() | (F.col("raw_ts") > F.col("curated_ts")))
 
 
 def canary(expected: DataFrame, actual: DataFrame, keys) -> DataFrame:
@@ -106,7 +106,11 @@ def completeness(manifest: DataFrame, delivered: DataFrame, key: str = "file_nam
 
 def freshness(events: DataFrame, reference: dt.datetime, max_age_seconds: int) -> DataFrame:
     """One row: newest event, its age at ``reference`` and whether to skip."""
-    newest = events.agg(F.max("event_ts").alias("newest_ts"))
+    return with_age(events.agg(F.max("event_ts").alias("newest_ts")), reference, max_age_seconds)
+
+
+def with_age(newest: DataFrame, reference: dt.datetime, max_age_seconds: int) -> DataFrame:
+    """A row with ``newest_ts``, its age at ``reference`` and whether that is too old."""
     age = F.timestamp_diff("SECOND", F.col("newest_ts"), run_timestamp(reference))
     return newest.withColumn("age_seconds", age).withColumn(
         "is_stale", F.col("newest_ts").isNull() | (F.col("age_seconds") > max_age_seconds)

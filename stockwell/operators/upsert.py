@@ -37,6 +37,9 @@ def upsert(
     cast_before_compare: bool = False,
     newer_by: str | None = None,
     reject_duplicates: bool = False,
+    null_keys: bool = False,
+    deleted: str | None = None,
+    old_image: str | None = None,
 ) -> DataFrame:
     """The target after merging ``source`` into it, plus ``_action``.
 
@@ -51,6 +54,11 @@ def upsert(
     names a column by which a match is rewritten only when the source is newer.
     ``reject_duplicates=True`` fails the job where several source rows match
     one target row; the count shares the exchange and sort of the join.
+    ``null_keys=True`` takes a NULL key for a key like any other; else it never matches,
+    and its row is inserted again each time. ``deleted`` names a boolean column of the source:
+    where it is true, a match becomes ``deleted`` (its row is still returned, as it was) and a
+    row without a match is left out. ``old_image`` names a column to add that holds the values
+    of the target's row as a struct, NULL where there was none.
     """
     keys = list(keys)
     values = [c for c in target.columns if c not in keys]
@@ -63,10 +71,16 @@ def upsert(
         *[F.col(k).cast(types[k]).alias(k) for k in keys],
         *[F.col(c).alias(f"_new_{c}") for c in values if c in source.columns],
         F.lit(True).alias("_in_source"),
+        (F.coalesce(F.col(deleted).cast("boolean"), F.lit(False)) if deleted else F.lit(False)).alias("_gone"),
     )
     if reject_duplicates:
         new = new.withColumn("_copies", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-    joined = old.join(new, keys, "full_outer")
+    if null_keys:
+        new = new.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+        joined = old.join(new, same, "full_outer").withColumns({k: F.coalesce(k, f"_key_{k}") for k in keys})
+    else:
+        joined = old.join(new, keys, "full_outer")
 
     def incoming(name: str) -> Column:
         return F.col(f"_new_{name}") if name in source.columns else F.lit(None)
@@ -83,8 +97,16 @@ def upsert(
     if newer_by is not None:
         old_mark, new_mark = F.col(f"_old_{newer_by}"), incoming(newer_by)
         changed = changed & new_mark.isNotNull() & (old_mark.isNull() | (new_mark > old_mark))
+    if deleted:
+        joined = joined.filter(F.col("_in_target").isNotNull() | ~F.col("_gone"))
+        going = matched & F.col("_gone")
+    else:
+        going = F.lit(False)
     action = (
-        F.when(F.col("_in_target").isNull(), "inserted").when(matched & changed, "updated").otherwise("kept")
+        F.when(F.col("_in_target").isNull(), "inserted")
+        .when(going, "deleted")
+        .when(matched & changed, "updated")
+        .otherwise("kept")
     )
     if reject_duplicates:
         action = F.when(
@@ -101,11 +123,14 @@ def upsert(
         columns.append(
             F.when(F.col(ACTION).isin(*takes_new), stored(name)).otherwise(F.col(f"_old_{name}")).alias(name)
         )
+    if old_image:
+        image = F.struct(*[F.col(f"_old_{c}").alias(c) for c in values])
+        columns.append(F.when(F.col("_in_target").isNotNull(), image).alias(old_image))
     return decided.select(*columns, ACTION)
 
 
 def action_counts() -> list[Column]:
-    """Aggregates over ``_action``: inserted, updated and merged rows."""
+    """Aggregates over ``_action``: inserted, updated and merged rows, deletions apart."""
     inserted = F.count_if(F.col(ACTION) == "inserted")
     updated = F.count_if(F.col(ACTION) == "updated")
     return [

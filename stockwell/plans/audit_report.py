@@ -6,7 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockwell.operators.audit import audit_stats, platform_breakdown
+from stockwell.operators.audit import audit_sets, platforms_of, stats_of
+from stockwell.session import materialized
 from stockwell.sources.audit_log import read_audit_log
 
 
@@ -17,5 +18,6 @@ class AuditReport:
 
 
 def audit_report(spark: SparkSession, path: str) -> AuditReport:
-    events = read_audit_log(spark, path, keep_malformed=True)
-    return AuditReport(audit_stats(events), platform_breakdown(events))
+    """Both results from one scan and parse of the log; a row per platform and one over all are kept."""
+    sets = materialized(audit_sets(read_audit_log(spark, path, keep_malformed=True)), "audit")
+    return AuditReport(stats_of(sets), platforms_of(sets))

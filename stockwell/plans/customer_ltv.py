@@ -5,15 +5,15 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
 
 from stockwell.functions import run_timestamp
 from stockwell.operators.customers import customer_order_stats, recency_features
 from stockwell.operators.ltv import ltv_stage, score_runner, score_sql
-from stockwell.operators.summary import ltv_summary, run_text
+from stockwell.operators.summary import ltv_facts, run_text
 from stockwell.operators.upsert import ACTION, LTV_COMPARE, action_counts, upsert
-from stockwell.schemas import CUSTOMER_LTV, split_on_nulls
+from stockwell.plans.staging import staged
+from stockwell.schemas import CUSTOMER_LTV
 from stockwell.sinks.snapshot import SnapshotTable
 
 
@@ -56,32 +56,31 @@ def customer_ltv_job(
 
     The sql profile rewrites only changed rows, the runner profile every
     match. ``on_null="quarantine"`` sets rows aside that the target would
-    refuse instead of failing the job.
+    refuse instead of failing the job: they are written with their reasons in the pass that
+    writes the stage, and stay readable after the job without computing anything again.
     """
     reference_date = reference_date or dt.date.today()
     run_ts = run_ts or dt.datetime.now(dt.UTC).replace(tzinfo=None)
     scored = scored_customers(customers, orders, items, reference_date, profile, on_zero, as_of)
     if profile == "sql":
-        stage = ltv_stage(scored, run_ts)
+        rows = ltv_stage(scored, run_ts)
     else:
-        stage = scored.withColumn("computed_at", run_timestamp(run_ts))
-    stage = stage.persist(StorageLevel.MEMORY_AND_DISK)
+        rows = scored.withColumn("computed_at", run_timestamp(run_ts))
+    refuse = on_null == "quarantine"
+    stage = staged(rows, CUSTOMER_LTV, "ltv-stage", ltv_facts(), refuse)
     try:
-        summary = ltv_summary(stage).first().asDict()
-        loadable, refused = stage, None
-        if on_null == "quarantine":
-            loadable, refused = split_on_nulls(stage, CUSTOMER_LTV)
         merged = upsert(
             target.read(),
-            loadable.select(*[f.name for f in CUSTOMER_LTV.fields]),
+            stage.loadable.select(*[f.name for f in CUSTOMER_LTV.fields]),
             ["customer_id"],
             compare=LTV_COMPARE if profile == "sql" else None,
             reject_duplicates=True,
         )
         counts = write_counted(merged, target)
-        return JobResult(run_text("customer_ltv", run_ts, summary, counts), summary, counts, refused)
+        text = run_text("customer_ltv", run_ts, stage.summary, counts)
+        return JobResult(text, stage.summary, counts, stage.refused if refuse else None)
     finally:
-        stage.unpersist()
+        stage.drop()
 
 
 def write_counted(merged: DataFrame, target: SnapshotTable) -> dict:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from stockwell.operators.reorder import (
@@ -13,7 +12,7 @@ from stockwell.operators.reorder import (
     reorder_plan_runner,
     reorder_stage,
 )
-from stockwell.operators.summary import reorder_summary, run_text
+from stockwell.operators.summary import reorder_facts, run_text
 from stockwell.operators.upsert import REORDER_COMPARE, upsert
 from stockwell.operators.velocity import (
     daily_sales,
@@ -23,7 +22,8 @@ from stockwell.operators.velocity import (
 )
 from stockwell.params import REORDER_SQL
 from stockwell.plans.customer_ltv import JobResult, write_counted
-from stockwell.schemas import INVENTORY_REORDER_PLAN, split_on_nulls
+from stockwell.plans.staging import staged
+from stockwell.schemas import INVENTORY_REORDER_PLAN
 from stockwell.sinks.snapshot import SnapshotTable
 
 
@@ -85,7 +85,7 @@ def inventory_reorder_job(
     """
     reference_date = reference_date or dt.date.today()
     run_ts = run_ts or dt.datetime.now(dt.UTC).replace(tzinfo=None)
-    stage = reorder_rows(
+    rows = reorder_rows(
         products,
         items,
         orders,
@@ -97,17 +97,15 @@ def inventory_reorder_job(
         on_zero,
         stock,
         date_partition,
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    refuse = on_null == "quarantine"
+    stage = staged(rows, INVENTORY_REORDER_PLAN, "reorder-stage", reorder_facts(), refuse)
     try:
-        summary = reorder_summary(stage).first().asDict()
-        loadable, refused = stage, None
-        if on_null == "quarantine":
-            loadable, refused = split_on_nulls(stage, INVENTORY_REORDER_PLAN)
         columns = [f.name for f in INVENTORY_REORDER_PLAN.fields]
         runner = profile == "runner"
         merged = upsert(
             target.read(),
-            loadable.select(*columns),
+            stage.loadable.select(*columns),
             ["product_id"],
             compare=None if runner else REORDER_COMPARE,
             # The runner never rewrites the sku of a product it already has.
@@ -117,10 +115,10 @@ def inventory_reorder_job(
         )
         counts = write_counted(merged, target)
         return JobResult(
-            run_text("inventory_reorder", run_ts, {"lead_time_override": lead_time_override}, summary, counts),
-            summary,
+            run_text("inventory_reorder", run_ts, {"lead_time_override": lead_time_override}, stage.summary, counts),
+            stage.summary,
             counts,
-            refused,
+            stage.refused if refuse else None,
         )
     finally:
-        stage.unpersist()
+        stage.drop()

@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Metadata key of a text column's greatest length.
+MAX_LENGTH = "max_length"
+
+
+def text(name: str, most: int, nullable: bool = True) -> T.StructField:
+    """A text column that holds at most ``most`` characters."""
+    return T.StructField(name, T.StringType(), nullable, {MAX_LENGTH: most})
+
+
 CUSTOMERS = T.StructType(
     [
         T.StructField("customer_id", T.LongType()),
@@ -46,7 +57,7 @@ CUSTOMER_LTV = T.StructType(
     [
         T.StructField("customer_id", T.LongType(), False),
         T.StructField("ltv_score", T.DoubleType(), False),
-        T.StructField("ltv_tier", T.StringType(), False),
+        text("ltv_tier", 16, False),
         T.StructField("predicted_revenue_12m", T.DoubleType(), False),
         T.StructField("churn_risk_score", T.DoubleType(), False),
         T.StructField("computed_at", T.TimestampNTZType(), False),
@@ -55,12 +66,12 @@ CUSTOMER_LTV = T.StructType(
 INVENTORY_REORDER_PLAN = T.StructType(
     [
         T.StructField("product_id", T.LongType(), False),
-        T.StructField("sku", T.StringType(), False),
+        text("sku", 64, False),
         T.StructField("current_stock", T.DecimalType(18, 2), False),
         T.StructField("reorder_qty", T.DecimalType(18, 2), False),
         T.StructField("reorder_point", T.DoubleType(), False),
         T.StructField("safety_stock", T.DoubleType(), False),
-        T.StructField("abc_class", T.StringType(), False),
+        text("abc_class", 1, False),
         T.StructField("computed_at", T.TimestampNTZType(), False),
     ]
 )
@@ -97,8 +108,22 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def required_not_null(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Fail the running job on a NULL in a NOT NULL column.
+def contract_errors(schema: T.StructType, prefix: str = "") -> Column:
+    """Why a row does not fit ``schema``: ``null:<column>`` and ``length:<column>`` texts, none if it fits."""
+    found = []
+    for field in schema.fields:
+        value = F.col(f"{prefix}{field.name}")
+        if not field.nullable:
+            found.append(F.when(value.isNull(), F.lit(f"null:{field.name}")))
+        if MAX_LENGTH in field.metadata:
+            found.append(F.when(F.length(value) > field.metadata[MAX_LENGTH], F.lit(f"length:{field.name}")))
+    if not found:
+        return F.array().cast("array<string>")
+    return F.array_compact(F.array(*found))
+
+
+def required_not_null(df: DataFrame, schema: T.StructType, keep: Sequence[Column] = ()) -> DataFrame:
+    """Fail the running job on a NULL in a NOT NULL column or a text longer than its column.
 
     The check is part of the row expression, so it costs no extra pass.
     """
@@ -108,16 +133,17 @@ def required_not_null(df: DataFrame, schema: T.StructType) -> DataFrame:
         if not field.nullable:
             message = f"NULL in required column {field.name}"
             value = F.when(value.isNull(), F.raise_error(F.lit(message)).cast(field.dataType)).otherwise(value)
+        if MAX_LENGTH in field.metadata:
+            most = field.metadata[MAX_LENGTH]
+            message = f"more than {most} characters in column {field.name}"
+            value = F.when(F.length(F.col(field.name)) > most, F.raise_error(F.lit(message)).cast("string")).otherwise(value)
         checked.append(value.alias(field.name))
-    return df.select(*checked)
+    return df.select(*checked, *keep)
 
 
 def split_on_nulls(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """(loadable rows, rows with a NULL in a NOT NULL column)."""
-    broken = F.lit(False)
-    for field in schema.fields:
-        if not field.nullable:
-            broken = broken | F.col(field.name).isNull()
+    """(loadable rows, rows that do not fit ``schema``: see :func:`contract_errors`)."""
+    broken = F.size(contract_errors(schema)) > 0
     return df.filter(~broken), df.filter(broken)
 
 

@@ -10,12 +10,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from stockwell.operators.upsert import ACTION, upsert
 from stockwell.schemas import conform, required_not_null
-from stockwell.sources.files import child_names, delete_path, path_exists
+from stockwell.sources.files import child_names, claim_file, delete_path, path_exists
 
 _PREFIX = "version="
 
 
+class ConcurrentWrite(RuntimeError):
+    """Another writer added a version while this one was being written."""
+
+
 class SnapshotTable:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keep: int | None = None):
         """``keep`` deletes all but that many newest versions after a write; at
@@ -47,16 +52,30 @@ class SnapshotTable:
     def write(self, df: DataFrame) -> int:
         """Write ``df`` as the next version and return its number.
 
-        A NULL in a NOT NULL column fails the write.
+        A NULL in a NOT NULL column fails the write. Version numbers are claimed, so two
+        writers never share a folder, and of two that started from one version one fails.
         """
         found = self.versions()
-        version = found[-1] + 1 if found else 0
+        base = found[-1] if found else -1
+        claimed = [int(n) for n in child_names(self.spark, f"{self.path}/_claims")]
+        version = max([base, *claimed]) + 1
+        if not claim_file(self.spark, f"{self.path}/_claims/{version:09d}", ""):
+            raise ConcurrentWrite(f"another writer took version {version} of {self.path}")
         rows = required_not_null(conform(df, self.schema), self.schema)
         rows.write.mode("overwrite").parquet(self._folder(version))
+        others = [v for v in self.versions() if base < v < version]
+        if others:
+            delete_path(self.spark, self._folder(version))
+            raise ConcurrentWrite(f"version {others[-1]} of {self.path} was written meanwhile")
         if self.keep:
             self.vacuum(self.keep)
         return version
 
+    def merge(self, source: DataFrame, owner: str = "", **options) -> None:
+        """Upsert ``source`` by the first column and write the outcome as the next version."""
+        merged = upsert(self.read(), source, [self.schema.fields[0].name], null_keys=True, **options)
+        self.write(merged.drop(ACTION))
+
     def ensure(self) -> "SnapshotTable":
         """Create an empty first version unless the table exists."""
         if not self.versions():

@@ -26,3 +26,44 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
 def delete_path(spark: SparkSession, path: str) -> None:
     where, fs = _file_system(spark, path)
     fs.delete(where, True)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    where, fs = _file_system(spark, path)
+    fs.mkdirs(where)
+
+
+def claim_file(spark: SparkSession, path: str, owner: str) -> bool:
+    """Create ``path`` with ``owner`` in it, or find it there with the same one that is not empty.
+
+    Creation without overwriting is atomic on HDFS and local disks, so of two writers one gets it.
+    """
+    where, fs = _file_system(spark, path)
+    try:
+        out = fs.create(where, False)
+    except Exception:
+        if not fs.exists(where):
+            raise
+        return bool(owner) and read_text(spark, path) == owner
+    out.write(bytearray(owner.encode()))
+    out.close()
+    return True
+
+
+def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = True) -> None:
+    """A small file with ``text``; without ``overwrite`` an existing one is an error."""
+    where, fs = _file_system(spark, path)
+    out = fs.create(where, overwrite)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    where, fs = _file_system(spark, path)
+    if not fs.exists(where):
+        return None
+    stream = fs.open(where)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

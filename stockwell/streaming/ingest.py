@@ -6,22 +6,38 @@ can call them; the checkpoint remembers files and rows already taken.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from stockwell.operators.upsert import ACTION, upsert
 from stockwell.schemas import EVENTS, conform
+from stockwell.sinks.buckets import BucketedTable
+from stockwell.sinks.marks import EVENT_TIME, mark_newest
 from stockwell.sinks.snapshot import SnapshotTable
-from stockwell.sources.landing import ERRORS, FILE, LINE, MAX_FILE_AGE, read_csv, read_json
+from stockwell.sinks.writers import append_batch
+from stockwell.sources.landing import (
+    ERRORS,
+    FILE,
+    LINE,
+    MAX_FILE_AGE,
+    file_layouts,
+    numbered,
+    read_csv,
+    read_json,
+    text_lines,
+    typed_lines,
+)
 
 OUTCOME = "outcome"
 _LOADED, _QUARANTINED = "loaded", "quarantined"
 
 
-def _finish(query: StreamingQuery) -> None:
+def _finish(query: StreamingQuery) -> StreamingQuery:
     query.awaitTermination()
+    return query
 
 
 def load_landing(
@@ -54,8 +70,9 @@ def load_landing(
             OUTCOME: F.when(bad, _QUARANTINED).otherwise(_LOADED),
         }
     )
-    _finish(
-        rows.writeStream.format("parquet")
+    query = _finish(
+        observed(rows, F.when(F.col(OUTCOME) == _LOADED, F.col(EVENT_TIME)) if EVENT_TIME in schema.names else F.lit(None))
+        .writeStream.format("parquet")
         .outputMode("append")
         .partitionBy(OUTCOME)
         .option("path", raw)
@@ -63,6 +80,45 @@ def load_landing(
         .trigger(availableNow=True)
         .start()
     )
+    mark_newest(spark, raw, [o["newest_ts"] for o in observations(query)])
+
+
+def load_mixed(
+    spark: SparkSession,
+    landing: str,
+    raw: str,
+    quarantine: str,
+    checkpoint: str,
+    schema: T.StructType = EVENTS,
+    writer: str = "landing",
+    max_files: int | None = None,
+) -> None:
+    """Load each landing file once, under its own delimiter and header.
+
+    Every micro-batch finds its files' layouts as a table and splits their lines by it.
+    Columns that the contract does not know are kept in the map ``_extra``; files may lack columns.
+    Good rows go to ``raw`` and others, as they came, to ``quarantine``, as batches that
+    replace themselves when a batch is replayed.
+    """
+    options = {} if max_files is None else {"maxFilesPerTrigger": str(max_files)}
+
+    def load(batch: DataFrame, number: int) -> None:
+        lines = numbered(batch)
+        rows = typed_lines(lines, file_layouts(lines, schema), schema, by_name=True).persist()
+        try:
+            good = F.size(ERRORS) == 0
+            append_batch(rows.where(good).drop(ERRORS, LINE, FILE), raw, writer, number)
+            append_batch(rows.where(~good).select(FILE, LINE, ERRORS), quarantine, writer, number)
+        finally:
+            rows.unpersist()
+
+    _finish(
+        text_lines(spark, landing, streaming=True, options=options)
+        .writeStream.foreachBatch(load)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
 
 
 def loaded(rows: DataFrame) -> DataFrame:
@@ -91,10 +147,28 @@ def raw_stream(
 
 
 def curate_append(
-    spark: SparkSession, raw: str, curated: str, checkpoint: str, max_files: int | None = None
-) -> None:
-    """Append every new RAW row to CURATED exactly once."""
-    _finish(
+    spark: SparkSession,
+    raw: str,
+    curated: str,
+    checkpoint: str,
+    max_files: int | None = None,
+    writer: str | None = None,
+) -> StreamingQuery:
+    """Append every new RAW row to CURATED exactly once.
+
+    With ``writer`` the rows go into that writer's batches (:func:`append_batch`), so that other
+    writers can share the table; else the folder belongs to this stream alone. The finished query
+    is returned; its progress holds what :func:`observed` adds.
+    """
+    if writer is not None:
+        rows = observed(raw_stream(spark, raw, max_files=max_files))
+        return _finish(
+            rows.writeStream.foreachBatch(lambda batch, number: append_batch(batch, curated, writer, number))
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+    return _finish(
         raw_stream(spark, raw, max_files=max_files)
         .writeStream.format("parquet")
         .outputMode("append")
@@ -105,6 +179,24 @@ def curate_append(
     )
 
 
+OBSERVED = "events"
+
+
+def observed(rows: DataFrame, time: str | Column = EVENT_TIME) -> DataFrame:
+    """``rows`` that report their number and newest time with each batch's progress."""
+    return rows.observe(OBSERVED, F.count(F.lit(1)).alias("rows"), F.max(time).cast("string").alias("newest_ts"))
+
+
+def observations(query: StreamingQuery) -> list[dict]:
+    """What :func:`observed` rows reported, a dict for each batch of the query's recent progress."""
+    found = []
+    for progress in query.recentProgress:
+        row = progress.observedMetrics.get(OBSERVED)
+        if row is not None:
+            found.append(row.asDict())
+    return found
+
+
 def latest_per_id(events: DataFrame) -> DataFrame:
     """The newest row per id; partial maxima keep a hot id in many tasks."""
     return events.groupBy("id").agg(F.max("event_ts").alias("event_ts"))
@@ -113,19 +205,18 @@ def latest_per_id(events: DataFrame) -> DataFrame:
 def curate_merge(
     spark: SparkSession,
     raw: str,
-    curated: SnapshotTable,
+    curated: SnapshotTable | BucketedTable,
     checkpoint: str,
     max_files: int | None = None,
 ) -> None:
-    """Keep one CURATED row per id, the one with the newest event_ts.
+    """Keep one CURATED row per id, the one with the newest event_ts; NULL ids share one row.
 
     A row not newer than the stored one does not replace it, so a batch that is
     replayed, or a whole stream started over, changes nothing.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        merged = upsert(curated.read(), latest_per_id(batch), ["id"], newer_by="event_ts")
-        curated.write(merged.drop(ACTION))
+        curated.merge(latest_per_id(batch), owner=checkpoint, newer_by="event_ts")
 
     _finish(
         raw_stream(spark, raw, max_files=max_files)
