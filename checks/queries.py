@@ -14,22 +14,24 @@ from pyspark.sql import types as T
 from checks import tables as t
 from stockwell.operators import audit, customers, quality, sales, signals, summary, velocity
 from stockwell.operators.ltv import ltv_ranks, ltv_stage
-from stockwell.operators.ranking import abc_classify, cumulative_share
+from stockwell.operators.ranking import Order, abc_classify, cumulative_share, with_orders
 from stockwell.operators.reorder import reorder_metrics_runner
 from stockwell.operators.upsert import ACTION, LTV_COMPARE, REORDER_COMPARE, upsert, upsert_counts
 from stockwell.params import LTV_RUNNER, LTV_SQL
+from stockwell.plans.audit_report import audit_report
 from stockwell.plans.customer_ltv import customer_ltv_job, scored_customers
 from stockwell.plans.daily_sales import daily_sales_job
 from stockwell.plans.event_curation import curate_full_append
 from stockwell.plans.inventory_reorder import inventory_reorder_job, reorder_rows, velocity_sql
 from stockwell.schemas import CUSTOMER_LTV, EVENTS, INVENTORY_REORDER_PLAN, conform
-from stockwell.session import new_folder
+from stockwell.session import materialized, new_folder
+from stockwell.sinks.buckets import BucketedTable
 from stockwell.sinks.snapshot import SnapshotTable
-from stockwell.sinks.writers import append, write_json_documents
+from stockwell.sinks.writers import append, append_batch, batch_rows, typed_batch, write_json_documents
 from stockwell.sources import landing
 from stockwell.sources.audit_log import parse_audit_lines
-from stockwell.sources.changes import table_changes
-from stockwell.streaming import ingest
+from stockwell.sources.changes import CHANGE, IS_UPDATE, ChangeStream, table_changes
+from stockwell.streaming import gates, ingest
 
 REF, RUN_TS = t.REFERENCE_DATE, t.RUN_TS
 RATIOS = {
@@ -260,7 +262,7 @@ def _quotable(scored):
 
 
 def _ltv_target(spark, sf, profile="sql"):
-    rows = _quotable(_scored(spark, sf, profile, _previous_orders(spark, sf)))
+    rows = _quotable(materialized(_scored(spark, sf, profile, _previous_orders(spark, sf)), "scores"))
     return conform(_stamp(rows, t.PREVIOUS_RUN_TS), CUSTOMER_LTV)
 
 
@@ -269,7 +271,11 @@ def _ltv_source(spark, sf, profile="sql"):
 
 
 def _merge_quotable(target, source, **options):
-    """The merge of the scores the target accepts, and a row of action ``refused`` for each other one."""
+    """The merge of the scores the target accepts, and a row of action ``refused`` for each other one.
+
+    The source is written once, as the job's stage is, and read for both.
+    """
+    source = materialized(source, "scores")
     merged = upsert(target, _quotable(source), ["customer_id"], **options)
     refused = conform(source.filter(F.col("ltv_score").isNull()), CUSTOMER_LTV)
     return merged.unionByName(refused.withColumn(ACTION, F.lit("refused")))
@@ -615,6 +621,199 @@ def freshness_guard(spark, sf):
     return quality.freshness(t.raw_events(spark, sf), t.EVENTS_END + dt.timedelta(days=2), 86400)
 
 
+# Merges, streams and gates over stored state -------------------------------
+
+
+def _latest(spark, sf, rows=None):
+    """Newest event by user; every tenth user has no id."""
+    rows = t.events(spark, sf) if rows is None else rows
+    user = F.when(F.col("user_id") % 10 != 0, F.col("user_id"))
+    return rows.select(user.alias("id"), F.col("ts").alias("event_ts"))
+
+
+def merge_buckets(spark, sf):
+    """Newest event per user, NULL among them, merged by bucket in two runs, and all of it replayed."""
+    raw = new_folder(spark, "raw")
+    table = BucketedTable(spark, new_folder(spark, "curated"), EVENTS, ["id"], buckets=16).ensure()
+    rows = _latest(spark, sf)
+    state = new_folder(spark, "state")
+    for part in (F.col("event_ts") >= F.lit(t.MID_MONTH), F.col("event_ts") < F.lit(t.MID_MONTH)):
+        append(rows.filter(part), raw)
+        ingest.curate_merge(spark, raw, table, state)
+    ingest.curate_merge(spark, raw, table, new_folder(spark, "state"))
+    return table.read()
+
+
+def change_stream(spark, sf):
+    """Three pulls: what was inserted, what was updated, what was deleted."""
+    table = BucketedTable(spark, new_folder(spark, "curated"), EVENTS, ["id"], buckets=16).ensure()
+    stream, sink = ChangeStream(table, new_folder(spark, "position")), new_folder(spark, "changes")
+    early = t.events(spark, sf).filter(F.col("ts") < F.lit(t.MID_MONTH))
+
+    def keep(changes, number):
+        append_batch(changes, sink, "changes", number)
+
+    table.merge(ingest.latest_per_id(_latest(spark, sf, early)))
+    stream.pull(keep)
+    table.merge(ingest.latest_per_id(_latest(spark, sf)), newer_by="event_ts")
+    stream.pull(keep)
+    gone = table.read().where(F.col("id") % 7 == 0).withColumn("gone", F.lit(True))
+    table.merge(gone, deleted="gone")
+    stream.pull(keep)
+    stream.pull(keep)
+    marks = [T.StructField(CHANGE, T.StringType()), T.StructField(IS_UPDATE, T.BooleanType()), T.StructField("_batch", T.IntegerType())]
+    marks = T.StructType(EVENTS.fields + marks)
+    return spark.read.schema(marks).parquet(f"{sink}/_writer=changes").withColumnRenamed("_batch", "pull")
+
+
+def shared_curated(spark, sf):
+    """One CURATED table of a batch job and a stream; every batch and the stream's start repeated."""
+    raw, curated, state = (new_folder(spark, n) for n in ("raw", "curated", "state"))
+    rows, kind = t.events(spark, sf), F.col("event_type")
+    events = [F.col("event_id").alias("id"), F.col("ts").alias("event_ts")]
+    append(rows.filter(~kind.isin("view", "error")).select(events), raw)
+    for _ in range(2):
+        append_batch(rows.filter(kind == "view").select(events), curated, "backfill", "views")
+        ingest.curate_append(spark, raw, curated, state, writer="stream")
+        append_batch(rows.filter(kind == "error").select(events), curated, "backfill", "errors")
+    ingest.curate_append(spark, raw, curated, new_folder(spark, "state"), writer="stream")
+    return batch_rows(spark, curated, EVENTS)
+
+
+def mixed_load(spark, sf):
+    """A stream over files of three delimiters, with columns moved, added and left out, and broken lines."""
+    root = new_folder(spark, "landing")
+    rows, kind = t.events(spark, sf), F.col("event_type")
+    stamp, number = F.date_format("ts", TEXT_TS), F.col("event_id").cast("string")
+    layouts = [
+        ("plain", ["view"], "id,event_ts", F.concat_ws(",", number, stamp)),
+        ("with space (1)", ["click", "signup"], "event_ts;Source;id", F.concat_ws(";", stamp, kind, number)),
+        ("bar", ["purchase"], "id|event_ts", F.concat_ws("|", number, stamp, F.when(F.col("event_id") % 5 == 0, "extra"))),
+        ("short", ["error"], "id", number),
+    ]
+    for name, kinds, header, line in layouts:
+        _write_lines(rows.filter(kind.isin(kinds)), f"{root}/{name}", header, line)
+    raw, bad, state = (new_folder(spark, n) for n in ("raw", "quarantine", "state"))
+    for _ in range(2):
+        ingest.load_mixed(spark, f"{landing.literal_path(root)}/*", raw, bad, state)
+    stored = EVENTS.fields + [T.StructField(landing.EXTRA, T.MapType(T.StringType(), T.StringType()))]
+    good = batch_rows(spark, raw, T.StructType(stored)).select(
+        "id", "event_ts", F.col(landing.EXTRA)["source"].alias("source"), F.lit("").alias("line")
+    )
+    kept = T.StructType([T.StructField(landing.LINE, T.StringType())])
+    lines = batch_rows(spark, bad, kept).select(
+        F.lit(None).cast("long").alias("id"), F.lit(None).cast("timestamp_ntz").alias("event_ts"), F.lit("quarantined").alias("source"),
+        F.col(landing.LINE).alias("line"),
+    )
+    return good.unionByName(lines)
+
+
+def gated_load(spark, sf):
+    """Events delivered by day, one day short at first: what each of two runs reports and has loaded."""
+    root, raw, bad = (new_folder(spark, n) for n in ("landing", "raw", "quarantine"))
+    rows = t.events(spark, sf).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    manifest = rows.groupBy(F.col("day").alias("delivery")).agg(F.count(F.lit(1)).alias("row_count"))
+    lines = rows.select("day", "event_type", _good_line().alias("id,event_ts"))
+    csv = {"header": "true", "sep": "\u0001", "quote": "\u0000", "escape": "\u0000"}
+    late = (F.col("day") == t.SHORT_DAY) & (F.col("event_type") == "error")
+    lines.filter(~late).drop("event_type").write.options(**csv).partitionBy("day").csv(root)
+    found = []
+    for run in (1, 2):
+        report = gates.load_when_complete(spark, root, manifest.withColumn("delivery", F.concat(F.lit("day="), "delivery")), raw, bad)
+        short = report.select(F.lit(run).alias("run"), F.lit("short").alias("outcome"), "delivery", F.col("delivered_rows").alias("rows"))
+        full = spark.read.parquet(raw).groupBy(F.col("_batch").alias("delivery")).agg(F.count("id").alias("rows"))
+        loaded = full.select(F.lit(run).alias("run"), F.lit("loaded").alias("outcome"), "delivery", "rows")
+        found.append(materialized(short.union(loaded), "gated"))
+        if run == 1:
+            lines.filter(late).drop("event_type").write.mode("append").options(**csv).partitionBy("day").csv(root)
+    return found[0].union(found[1])
+
+
+def lag_gate(spark, sf):
+    """CURATED is run until it has caught up, while RAW grows during the first try and between two calls."""
+    raw, curated, state = (new_folder(spark, n) for n in ("raw", "curated", "state"))
+    rows = t.raw_events(spark, sf)
+    day = F.to_date("event_ts")
+    parts = [day < "2024-01-10", (day >= "2024-01-10") & (day < "2024-01-20"), day >= "2024-01-20"]
+    append(rows.filter(parts[0]), raw)
+    waiting = [parts[1]]
+
+    def growing():
+        if waiting:
+            before = gates.newest_mark(spark, raw)
+            append(rows.filter(waiting.pop()), raw)
+            # The first try is measured against a RAW that is ten days further on than it can see.
+            return before.replace("2024-01-09", "2024-01-19")
+        return gates.newest_mark(spark, raw)
+
+    seen = []
+    for call, newest in ((1, growing), (2, None)):
+        for row in gates.curate_until_fresh(spark, raw, curated, state, "stream", 60, newest_raw=newest):
+            seen.append((call, row["rows"], row["curated_ts"] == row["raw_ts"]))
+        if call == 1:
+            append(rows.filter(parts[2]), raw)
+    report = spark.createDataFrame(seen, "call int, rows long, caught_up boolean")
+    total = batch_rows(spark, curated, EVENTS).agg(F.count("id").alias("curated_rows"))
+    return report.groupBy("call").agg(F.sum("rows").alias("rows"), F.max("caught_up").alias("caught_up")).join(F.broadcast(total))
+
+
+def freshness_mark(spark, sf):
+    """The guard's row from the mark that the load left, without a read of RAW."""
+    raw = new_folder(spark, "raw")
+    ingest.load_landing(spark, _delivered(spark, sf), raw, new_folder(spark, "state"))
+    return gates.marked_freshness(spark, raw, t.EVENTS_END + dt.timedelta(days=2), 86400)
+
+
+def ltv_refused(spark, sf):
+    """Customers that the job set aside, with the reasons, read after it is over."""
+    people, orders, items = _sources(spark, sf)
+    target = SnapshotTable(spark, new_folder(spark, "customer-ltv"), CUSTOMER_LTV).ensure()
+    done = customer_ltv_job(people, orders, items, target, REF, RUN_TS, on_zero="null", on_null="quarantine")
+    return done.quarantined.select("customer_id", "order_count", F.concat_ws("+", "_reasons").alias("reasons"))
+
+
+def _audit_folder(spark, sf):
+    """The audit log as files, with blank, malformed, unnamed and text-valued lines among the good ones."""
+    path = new_folder(spark, "audit")
+    t.awkward_audit_lines(spark, sf).write.text(path)
+    return path
+
+
+def audit_report_stats(spark, sf):
+    return audit_report(spark, _audit_folder(spark, sf)).stats
+
+
+def audit_report_platforms(spark, sf):
+    report = audit_report(spark, _audit_folder(spark, sf)).platforms
+    return report.select(F.coalesce("platform", F.lit("(null)")).alias("platform"), "incidents")
+
+
+def typed_batch_events(spark, sf):
+    """Texts cast to a contract and read by their name in SQL."""
+    texts = t.events(spark, sf).select(F.col("event_id").cast("string").alias("id"), F.date_format("ts", TEXT_TS).alias("event_ts"))
+    typed_batch(texts, EVENTS, "typed_events")
+    return spark.sql("SELECT to_date(event_ts) AS day, count(id) AS events, max(id) AS last_id FROM typed_events GROUP BY ALL")
+
+
+def revenue_order(spark, sf):
+    """The order in which customers are shown, as positions."""
+    stats = customers.customer_order_stats(*_sources(spark, sf), REF, "sql")
+    return with_orders(
+        stats.select("customer_id", "total_revenue"),
+        Order("total_revenue", "customer_id", descending=True, row_number="position"),
+    ).select("customer_id", "position")
+
+
+def run_facts(spark, sf):
+    """The facts of the job's log line, read back from its JSON."""
+    people, orders, items = _sources(spark, sf)
+    target = SnapshotTable(spark, new_folder(spark, "customer-ltv"), CUSTOMER_LTV).ensure()
+    done = customer_ltv_job(people, orders, items, target, REF, RUN_TS, on_zero="fallback", on_null="quarantine")
+    line = spark.createDataFrame([(done.message.split(" ", 2)[2],)], "facts string")
+    names = ["customer_count", "platinum_count", "gold_count", "silver_count", "bronze_count", "rows_inserted", "rows_updated"]
+    return line.select(*[F.get_json_object("facts", f"$.{n}").cast("long").alias(n) for n in names])
+
+
 def all_queries() -> dict:
     return {
         "completed_orders": completed_orders,
@@ -671,4 +870,17 @@ def all_queries() -> dict:
         "stream_lag": stream_lag,
         "completeness": completeness,
         "freshness_guard": freshness_guard,
+        "merge_buckets": merge_buckets,
+        "change_stream": change_stream,
+        "shared_curated": shared_curated,
+        "mixed_load": mixed_load,
+        "gated_load": gated_load,
+        "lag_gate": lag_gate,
+        "freshness_mark": freshness_mark,
+        "ltv_refused": ltv_refused,
+        "audit_report_stats": audit_report_stats,
+        "audit_report_platforms": audit_report_platforms,
+        "typed_batch": typed_batch_events,
+        "revenue_order": revenue_order,
+        "run_facts": run_facts,
     }

@@ -15,6 +15,7 @@ PREVIOUS_RUN_TS = dt.datetime(2001, 8, 1, 2, 0, 0)
 LATE_FROM = dt.date(2001, 5, 1)
 EVENTS_END = dt.datetime(2024, 1, 31, 0, 0, 0)
 MID_MONTH = dt.datetime(2024, 1, 16, 0, 0, 0)
+SHORT_DAY = "2024-01-05"
 
 
 # The files' own schemas, stated so that reading needs no footer scan.
@@ -118,8 +119,8 @@ def event_number() -> Column:
     return F.regexp_extract("props", "[0-9]+", 0).cast("int")
 
 
-def audit_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events as lines of an audit log."""
+def audit_lines(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
+    """The events as lines of an audit log, with the columns named in ``keep``."""
     kind = (
         F.when(F.col("event_type") == "view", "event.received")
         .when(F.col("event_type") == "purchase", "pr.created")
@@ -128,6 +129,7 @@ def audit_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     platform = F.concat(F.lit("p"), (event_number() % 3).cast("string"))
     return events(spark, sf_dir).select(
+        *keep,
         F.to_json(
             F.struct(
                 kind.alias("event_type"),
@@ -141,6 +143,31 @@ def audit_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def awkward_audit_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit lines of which some are blank, cut off, arrays, without a platform or with a text confidence.
+
+    By event_id modulo 12: 0 blank, 1 cut off, 2 an array, 3 no platform, 4 a null platform,
+    5 the confidence as text, 6 a confidence that is no number, 7 no correlation id.
+    """
+    kind = F.col("event_id") % 12
+    lines = events(spark, sf_dir).select(kind.alias("kind"), F.col("event_id"))
+    good = audit_lines(spark, sf_dir, "event_id").join(lines, "event_id")
+    value = F.col("value")
+    platform = r'"event":\{"platform":"[^"]*"\}'
+    return good.select(
+        F.when(F.col("kind") == 0, F.lit("  "))
+        .when(F.col("kind") == 1, F.substring(value, 1, 20))
+        .when(F.col("kind") == 2, F.concat(F.lit("["), value, F.lit("]")))
+        .when(F.col("kind") == 3, F.regexp_replace(value, platform, '"event":{}'))
+        .when(F.col("kind") == 4, F.regexp_replace(value, platform, '"event":{"platform":null}'))
+        .when(F.col("kind") == 5, F.regexp_replace(value, r'"confidence":([^}]*)', '"confidence":"$1"'))
+        .when(F.col("kind") == 6, F.regexp_replace(value, r'"confidence":([^}]*)', '"confidence":"high"'))
+        .when(F.col("kind") == 7, F.regexp_replace(value, r'"correlation_id":"[^"]*",', ""))
+        .otherwise(value)
+        .alias("value")
+    )
+
+
 def failure_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Error events as failure signals; costly ones carry artifacts and config."""
     number = event_number()
