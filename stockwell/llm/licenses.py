@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from stockwell.llm.common import whole_text
 from stockwell.llm.license_rules import ANCHORS, RULES, Rule
-from stockwell.llm.native import let
+from stockwell.llm.native import in_chunks, let
 
 _DETECTION = "struct<start:bigint,end:bigint,priority:int,rule:int>"
 
@@ -93,25 +93,44 @@ def _unsuppressed(found: Column, rules: list[Rule]) -> Column:
     """Detections not inside an earlier one of the same or a higher priority.
 
     In this order only an earlier detection can contain a later one, so it is
-    enough to know how far detections of each priority have reached.
+    enough to know how far detections of each priority have reached. Detections are
+    taken in chunks: the reach before each chunk comes first, so no array grows with the
+    number of detections squared.
     """
     levels = sorted({r.priority for r in rules})
-    reach = F.array(*[F.lit(-1).cast("bigint")] * len(levels))
-    state = F.struct(reach.alias("reach"), F.array().cast(f"array<{_DETECTION}>").alias("kept"))
     order = F.array(*[F.lit(p) for p in levels])
+    nowhere = F.array(*[F.lit(-1).cast("bigint")] * len(levels))
+
+    def further(reach, d):
+        return F.zip_with(
+            reach, order, lambda to, level: F.when(level == d["priority"], F.greatest(to, d["end"])).otherwise(to)
+        )
+
+    def before(chunks):
+        start = F.struct(nowhere.alias("reach"), F.array().cast("array<array<bigint>>").alias("seen"))
+        return F.aggregate(
+            chunks,
+            start,
+            lambda acc, c: F.struct(
+                F.aggregate(c, acc["reach"], further).alias("reach"),
+                F.concat(acc["seen"], F.array(acc["reach"])).alias("seen"),
+            ),
+            lambda acc: acc["seen"],
+        )
 
     def step(acc, d):
         covered = F.exists(
             F.arrays_zip(acc["reach"].alias("to"), order.alias("level")),
             lambda x: (x["level"] >= d["priority"]) & (x["to"] >= d["end"]),
         )
-        further = F.zip_with(
-            acc["reach"], order, lambda to, level: F.when(level == d["priority"], F.greatest(to, d["end"])).otherwise(to)
-        )
         kept = F.when(covered, acc["kept"]).otherwise(F.concat(acc["kept"], F.array(d.cast(_DETECTION))))
-        return F.struct(further.alias("reach"), kept.alias("kept"))
+        return F.struct(further(acc["reach"], d).alias("reach"), kept.alias("kept"))
+
+    def kept_of(chunk, reach):
+        start = F.struct(reach.alias("reach"), F.array().cast(f"array<{_DETECTION}>").alias("kept"))
+        return F.aggregate(chunk, start, step, lambda acc: acc["kept"])
 
-    return F.aggregate(found, state, step, lambda acc: acc["kept"])
+    return let(in_chunks(found), lambda chunks: F.flatten(F.zip_with(chunks, before(chunks), kept_of)))
 
 
 def scan_licenses(

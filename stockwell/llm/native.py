@@ -32,12 +32,17 @@ def _appended_sums(values: Column) -> Column:
     )
 
 
-def sums_before(values: Column) -> Column:
-    """For each value of a ``array<bigint>`` the sum of the values before it."""
+def in_chunks(values: Column) -> Column:
+    """An array as an array of chunks; one empty chunk for an empty array."""
     def chunked(v):
         count = F.greatest(F.lit(0), F.floor((F.size(v) - 1) / _CHUNK).cast("int"))
         return F.transform(F.sequence(F.lit(0), count), lambda i: F.slice(v, i * _CHUNK + 1, F.lit(_CHUNK)))
 
+    return let(values, chunked)
+
+
+def sums_before(values: Column) -> Column:
+    """For each value of a ``array<bigint>`` the sum of the values before it."""
     def placed(chunks):
         totals = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda acc, v: acc + v))
         return F.flatten(
@@ -48,7 +53,7 @@ def sums_before(values: Column) -> Column:
             )
         )
 
-    return let(let(values, chunked), placed)
+    return let(in_chunks(values), placed)
 
 
 def match_spans(
