@@ -116,11 +116,11 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_documents: int = GRO
     """Add ``sequence_id`` and ``offset``; sequences are filled from offset 0 without gaps.
 
     Groups are dealt by a hash of ``doc_id``, ``start`` and, if there, ``_salt``, which is
-    dropped; their number follows the number of documents, so a group's size does not grow
-    with the table. With a salt of its own for each piece no repeated or null id fills a group.
+    dropped; their number follows that of documents and, where documents are long, that of pieces,
+    so a group holds about four times ``group_documents`` pieces at most. With a salt of its own for each piece no repeated or null id fills a group.
     """
-    documents = pieces.where(F.col("start") == 0).count()
-    groups = max(1, math.ceil(documents / group_documents))
+    size = pieces.agg(F.count_if(F.col("start") == 0).alias("documents"), F.count(F.lit(1)).alias("pieces")).first()
+    groups = max(1, math.ceil(size["documents"] / group_documents), math.ceil(size["pieces"] / (4 * group_documents)))
     names = [c for c in pieces.columns if c != SALT]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields if f.name != SALT)
 
