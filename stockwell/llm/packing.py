@@ -11,6 +11,7 @@ alone. Only lengths and checksums are shuffled.
 from __future__ import annotations
 
 import base64
+import functools
 import math
 import zlib
 from typing import Any
@@ -31,6 +32,12 @@ END = 0
 SALT = "_salt"
 
 
+def _tokenizer(path: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
 class Encoder:
     """Whole-text token ids as little-endian unsigned 32-bit numbers.
 
@@ -40,16 +47,19 @@ class Encoder:
     expression gives up on about a million white-space characters in a row.
     """
 
-    def __init__(self, path: str, ranks: str):
+    def __init__(self, path: str, ranks: str, specials: list[str]):
         import tiktoken
         from public_tokenizers import PATTERN
-        from tokenizers import Tokenizer
 
         with open(ranks, "rb") as lines:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.fast = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=table, special_tokens={})
-        self.tokenizer = Tokenizer.from_file(path)
-        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.path, self.specials = path, specials
+
+    @functools.cached_property
+    def tokenizer(self):
+        """Loaded where a text needs it: it takes as much memory as the rank form."""
+        return _tokenizer(self.path)
 
     def encode(self, text: str) -> bytes:
         if not any(s in text for s in self.specials):
@@ -86,11 +96,12 @@ def token_pieces(
     ``tokenizer`` and ``ranks`` are the paths of the same vocabulary in its two forms.
     """
     path, ranks = tokenizer or tokenizer_file(), ranks or tokenizer_file("byte_bpe_50k.tiktoken")
+    specials = [t.content for t in _tokenizer(path).get_added_tokens_decoder().values()]
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * keep_ids
 
     def pieces(batches):
-        encoder = Encoder(path, ranks)
+        encoder = Encoder(path, ranks, specials)
         end = np.asarray([END], "<u4").tobytes()
         for batch in batches:
             columns: list[list] = [[] for _ in names]
