@@ -164,38 +164,43 @@ def sales_velocity_runner(
         exact(items, "quantity", 2).alias("quantity"),
         exact(items, "line_total", 4).alias("line_total"),
     )
-    if strict_window:
-        lines = lines.join(qualifying, "order_id", "left_semi")
     quantity = F.col("quantity")
-    measures = lines.groupBy("product_id").agg(
+    sums = [
         F.sum(quantity).alias("_qty"),
         F.count(quantity).alias("_lines"),
         F.sum(quantity * quantity).alias("_qty_squared"),
         F.sum("line_total").alias("_revenue"),
-    )
-    counts = (
-        items.select("order_id", "product_id")
-        .join(qualifying, "order_id", "left_semi")
-        .repartition("product_id", "order_id")
-        .groupBy("product_id")
-        .agg(F.count_distinct("order_id").alias("_orders"))
-    )
-    variance = population_variance(F.col("_lines"), F.col("_qty"), F.col("_qty_squared"))
-    return (
-        products.join(measures, "product_id", "left")
-        .join(counts, "product_id", "left")
-        .select(
-            "product_id",
-            "sku",
-            "product_name",
-            "category",
-            "price",
-            F.coalesce("_orders", F.lit(0)).alias("order_count"),
-            F.coalesce("_qty", F.lit(0)).alias("total_qty_sold"),
-            F.coalesce(
-                F.try_divide(F.col("_qty").cast("double"), F.col("_lines").cast("double")), F.lit(0.0)
-            ).alias("avg_qty_per_order"),
-            F.coalesce(F.sqrt(variance), F.lit(0.0)).alias("std_qty_per_order"),
-            F.coalesce("_revenue", F.lit(0)).alias("total_revenue"),
+    ]
+    if strict_window:
+        # One join serves the measures and the count: a row of each product and order is summed again by product.
+        per_order = lines.join(qualifying, "order_id", "left_semi").groupBy("product_id", "order_id").agg(*sums)
+        measures = per_order.groupBy("product_id").agg(
+            *[F.sum(c).alias(c) for c in ("_qty", "_lines", "_qty_squared", "_revenue")],
+            F.count("order_id").alias("_orders"),
+        )
+        joined = products.join(measures, "product_id", "left")
+    else:
+        counts = (
+            items.select("order_id", "product_id")
+            .join(qualifying, "order_id", "left_semi")
+            .repartition("product_id", "order_id")
+            .groupBy("product_id")
+            .agg(F.count_distinct("order_id").alias("_orders"))
         )
+        measures = lines.groupBy("product_id").agg(*sums)
+        joined = products.join(measures, "product_id", "left").join(counts, "product_id", "left")
+    variance = population_variance(F.col("_lines"), F.col("_qty"), F.col("_qty_squared"))
+    return joined.select(
+        "product_id",
+        "sku",
+        "product_name",
+        "category",
+        "price",
+        F.coalesce("_orders", F.lit(0)).alias("order_count"),
+        F.coalesce("_qty", F.lit(0)).alias("total_qty_sold"),
+        F.coalesce(
+            F.try_divide(F.col("_qty").cast("double"), F.col("_lines").cast("double")), F.lit(0.0)
+        ).alias("avg_qty_per_order"),
+        F.coalesce(F.sqrt(variance), F.lit(0.0)).alias("std_qty_per_order"),
+        F.coalesce("_revenue", F.lit(0)).alias("total_revenue"),
     )

@@ -193,3 +193,13 @@ def test_date_partitions_are_pruned(spark, sources, folder):
     )
     plan = lines._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan and "day#" in plan
+
+
+def test_strict_window_joins_the_lines_once(spark):
+    from checks import tables as t
+    from conftest import SMALL
+
+    df = sales_velocity_runner(t.products(spark, SMALL), t.order_lines(spark, SMALL), t.orders(spark, SMALL), t.REFERENCE_DATE, strict_window=True)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftSemi") == 1 and plan.count("l_orderkey") > 0
+    assert plan.count("/lineitem.parquet") <= 1 and plan.count("Relation [l_orderkey") == 1
