@@ -31,6 +31,7 @@ from stockwell.sinks.writers import append, append_batch, batch_rows, typed_batc
 from stockwell.sources import landing
 from stockwell.sources.audit_log import parse_audit_lines
 from stockwell.sources.changes import CHANGE, IS_UPDATE, ChangeStream, table_changes
+from stockwell.sources.tables import colocated
 from stockwell.streaming import gates, ingest
 
 REF, RUN_TS = t.REFERENCE_DATE, t.RUN_TS
@@ -757,6 +758,27 @@ def lag_gate(spark, sf):
     return report.groupBy("call").agg(F.sum("rows").alias("rows"), F.max("caught_up").alias("caught_up")).join(F.broadcast(total))
 
 
+ORDER_BUCKETS = 32
+
+
+def _colocated(spark, sf):
+    """Orders and their lines, stored side by side by order."""
+    lines = colocated(t.order_items(spark, sf), new_folder(spark, "lines"), "order_id", ORDER_BUCKETS)
+    orders = colocated(t.orders(spark, sf), new_folder(spark, "orders"), "order_id", ORDER_BUCKETS)
+    return lines, orders
+
+
+def daily_sales_colocated(spark, sf):
+    lines, orders = _colocated(spark, sf)
+    sales_by_day = velocity.daily_sales(velocity.recent_completed_lines(lines, orders, REF))
+    return tidy(sales_by_day.select("product_id", "sale_date", "units_sold", "revenue"))
+
+
+def customer_stats_colocated(spark, sf):
+    lines, orders = _colocated(spark, sf)
+    return tidy(customers.customer_order_stats(t.customers(spark, sf), orders, lines, REF, "sql"))
+
+
 def freshness_mark(spark, sf):
     """The guard's row from the mark that the load left, without a read of RAW."""
     raw = new_folder(spark, "raw")
@@ -877,6 +899,8 @@ def all_queries() -> dict:
         "gated_load": gated_load,
         "lag_gate": lag_gate,
         "freshness_mark": freshness_mark,
+        "daily_sales_colocated": daily_sales_colocated,
+        "customer_stats_colocated": customer_stats_colocated,
         "ltv_refused": ltv_refused,
         "audit_report_stats": audit_report_stats,
         "audit_report_platforms": audit_report_platforms,

@@ -152,3 +152,18 @@ def test_table_scans_and_writers(spark, folder):
 
 def test_shared_folder_is_the_configured_one(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+@pytest.mark.parametrize("name", ["daily_sales_colocated", "customer_stats_colocated"])
+def test_colocated_tables_join_without_moving_a_line(spark, name):
+    from checks.queries import all_queries
+    from conftest import SMALL
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = all_queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Join" in plan and "Bucketed: true" in plan
+    assert "hashpartitioning(order_id" not in plan
+    assert not [x for x in spark.catalog.listTables() if x.name.startswith("stockwell_")]
