@@ -1,28 +1,34 @@
-"""Embedding near duplicates by dual cover-tree traversal over blocks.
-
-Equal vectors of a label are one class with a weight. Classes of a label are put in order
-of distance to the label's root and cut into blocks; a block keeps its nearest and
-furthest distance, so pairs of blocks whose distance ranges differ by more than the
-threshold are never met: the root's covering bound. Every other pair of
-blocks is one row of work: both trees are built and traversed against each other,
-which gives exact link counts and a spanning set of links. Only those leave the task.
+"""Embedding near duplicates by dual traversal of a distributed cover tree.
+
+Equal vectors of a label are one class with a weight. All classes of a label are the root
+of a tree that is built level by level for all cells at once: a crowded cell draws a few of its
+members as centers, every member goes to its nearest center, and a child keeps its center and the
+radius that covers its members, which shrinks from level to level. Cells that fit a block are leaves.
+
+Pairs of cells are then descended level by level as a table, from each root paired
+with itself: a pair of children stays only if their centers are no further apart than
+the threshold and both covering radii, the covering bound. Every pair of leaves that is left is one row of work: both
+blocks' cover trees, with halving radii, are traversed against each other, which gives exact
+link counts and a spanning set of links. Only those leave the task.
 """
 
 from __future__ import annotations
 
 import math
+from typing import Any
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockwell.llm.common import written
+from stockwell.llm.common import built_side, written
 from stockwell.llm.components import components
-from stockwell.llm.cover_tree import Tree, linked
+from stockwell.llm.cover_tree import Tree, distances, linked
 
-#: Vectors of one block.
-BLOCK = 1024
+#: Vectors of one block at most, centers of a crowded cell, and members that are dealt to one group.
+BLOCK, FANOUT, GROUP = 1024, 32, 4096
 
 
 def _classes(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -> DataFrame:
@@ -40,93 +46,127 @@ def _classes(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -
     return rows.groupBy("label", "vector").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("weight"))
 
 
-def _blocks(classes: DataFrame, block: int) -> DataFrame:
-    """Rows ``block_id, label, width, low, high, ids, weights, units``, one for each block."""
-    roots = classes.groupBy("label", F.size("vector").alias("width")).agg(
-        F.min_by("vector", F.struct("id", "vector")).alias("root")
-    )
+def _unit_vectors(classes: DataFrame) -> DataFrame:
+    """``cell, id, weight, width, unit``: each class as a unit vector in its label's root cell."""
 
-    def place(batches):
+    def units(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            far = []
-            for at in range(0, batch.num_rows, 4096):
-                part = batch.slice(at, 4096)
-                for v, r in zip(part.column(1).to_pylist(), part.column(4).to_pylist()):
-                    x, y = np.asarray(v) / np.abs(v).max(), np.asarray(r) / np.abs(r).max()
-                    c = x @ y / math.sqrt((x @ x) * (y @ y))
-                    far.append(math.sqrt(max(0.0, 2.0 - 2.0 * c)))
+            made = []
+            for vector in batch.column(4).to_pylist():
+                x = np.asarray(vector, float)
+                x = x / np.abs(x).max()
+                made.append((x / np.linalg.norm(x)).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:4], pa.array(far)], names=["label", "vector", "id", "weight", "far"]
+                [*batch.columns[:4], pa.array(made, pa.binary())], names=["cell", "id", "weight", "width", "unit"]
             )
 
-    kind = classes.schema["label"].dataType.simpleString()
-    sized = classes.withColumn("width", F.size("vector")).join(roots, ["label", "width"])
-    placed = written(
-        sized.select("label", "vector", "id", "weight", "root").mapInArrow(
-            place, f"label {kind}, vector array<double>, id long, weight long, far double"
-        ),
-        "placed",
+    sized = classes.withColumn("width", F.size("vector"))
+    roots = sized.select("label", "width").distinct().withColumn("number", F.monotonically_increasing_id())
+    roots = written(roots, "roots")
+    named = sized.join(built_side(roots), ["label", "width"]).withColumn("cell", F.concat(F.lit("r"), F.col("number")))
+    return named.select("cell", "id", "weight", "width", "vector").mapInArrow(
+        units, "cell string, id long, weight long, width int, unit binary"
     )
 
-    def cut(batches):
-        held: list = []
-
-        def block_row():
-            label, width = held[0][0], len(held[0][1])
-            return label, width, held[0][4], held[-1][4], [h[2] for h in held], [h[3] for h in held], held
-
-        def emit(rows):
-            flat = []
-            for row in rows:
-                units = np.stack([np.asarray(h[1], float) for h in row[6]])
-                units = units / np.abs(units).max(axis=1, keepdims=True)
-                units /= np.linalg.norm(units, axis=1, keepdims=True)
-                flat.append((*row[:6], units.tobytes()))
-            columns = list(zip(*flat)) if flat else [()] * 7
-            kinds = [label_type, pa.int32(), pa.float64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, kinds)],
-                names=["label", "width", "low", "high", "ids", "weights", "units"],
-            )
 
-        label_type = None
-        for batch in batches:
-            label_type, rows = batch.schema.field(0).type, []
-            for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                if held and (len(held) == block or held[0][0] != row[0] or len(held[0][1]) != len(row[1])):
-                    rows.append(block_row())
-                    held = []
-                held.append(row)
-            yield emit(rows)
-        if held:
-            yield emit([block_row()])
-
-    width = F.size("vector")
-    dealt = placed.withColumn("width", width).repartitionByRange("label", "width", "far", "id").sortWithinPartitions(
-        "label", "width", "far", "id"
+def _split(crowded: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``parent, cell, center, id, weight, width, unit, far``: members of crowded cells in their children."""
+    drawn = F.row_number().over(Window.partitionBy("cell").orderBy(F.xxhash64("id", "cell"), "id"))
+    centers = (
+        crowded.select("cell", "id", "unit", drawn.alias("nth"))
+        .where(F.col("nth") <= FANOUT)
+        .groupBy("cell")
+        .agg(F.sort_array(F.collect_list(F.struct("nth", "unit"))).alias("c"))
+        .select("cell", F.col("c.unit").alias("centers"))
     )
-    rows = dealt.select("label", "vector", "id", "weight", "far").mapInArrow(
-        cut,
-        f"label {kind}, width int, low double, high double, ids array<long>, weights array<long>, units binary",
+    # A cell is dealt to as many groups as keep each small; every group gets the centers.
+    parts = sizes.select("cell", F.ceil(F.col("n") / GROUP).alias("parts"))
+    dealt = crowded.join(built_side(parts), "cell").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
+    dealt = dealt.select("cell", "part", "id", "weight", "width", "unit")
+    every_part = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
+    copied = centers.join(parts, "cell").select(F.col("cell").alias("of"), every_part.alias("of_part"), "centers")
+
+    def assign(key: tuple[Any, ...], members: pd.DataFrame, around: pd.DataFrame) -> pd.DataFrame:
+        if members.empty:
+            return pd.DataFrame(columns=["parent", "cell", "center", "id", "weight", "width", "unit", "far"])
+        width, bytes_of = int(members["width"].iloc[0]), list(around["centers"].iloc[0])
+        points = np.frombuffer(b"".join(members["unit"])).reshape(-1, width)
+        apart = distances(points, np.frombuffer(b"".join(bytes_of)).reshape(-1, width))
+        # Of equally near centers one is taken by the id, so that equal directions spread too.
+        near = apart <= apart.min(axis=1, keepdims=True) + 1e-9
+        turn = members["id"].to_numpy(np.int64) % near.sum(axis=1)
+        chosen = (np.cumsum(near, axis=1) > turn[:, None]).argmax(axis=1)
+        return members.assign(
+            parent=key[0],
+            cell=[f"{key[0]}.{c}" for c in chosen],
+            center=[bytes_of[c] for c in chosen],
+            far=apart[np.arange(len(chosen)), chosen],
+        )[["parent", "cell", "center", "id", "weight", "width", "unit", "far"]]
+
+    return (
+        dealt.groupBy("cell", "part")
+        .cogroup(copied.groupBy("of", "of_part"))
+        .applyInPandas(assign, "parent string, cell string, center binary, id long, weight long, width int, unit binary, far double")
     )
-    return rows.withColumn("block_id", F.xxhash64("label", "width", "ids"))
 
 
-def _traversed(blocks: DataFrame, cosine: float) -> DataFrame:
+def _descended(pairs: DataFrame, nodes: DataFrame, gap: float) -> DataFrame:
+    """Pairs ``a, b`` of children whose covering balls come within ``gap`` of each other."""
+
+    def keep(batches):
+        for batch in batches:
+            ca, cb = ([np.frombuffer(x.as_buffer()) for x in batch.column(i)] for i in (2, 3))
+            reach = gap + batch.column(4).to_numpy() + batch.column(5).to_numpy()
+            apart = np.array([math.sqrt(max(0.0, float(((x - y) ** 2).sum()))) for x, y in zip(ca, cb)])
+            kept = batch.filter(pa.array(apart <= reach, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], names=["a", "b"])
+
+    x = nodes.select(F.col("parent").alias("a"), F.col("cell").alias("x"), F.col("center").alias("cx"), F.col("radius").alias("rx"))
+    y = nodes.select(F.col("parent").alias("b"), F.col("cell").alias("y"), F.col("center").alias("cy"), F.col("radius").alias("ry"))
+    met = pairs.join(x, "a").join(y, "b").where((F.col("a") != F.col("b")) | (F.col("x") <= F.col("y")))
+    return met.select("x", "y", "cx", "cy", "rx", "ry").mapInArrow(keep, "a string, b string")
+
+
+def _leaves(classes: DataFrame, block: int, gap: float) -> tuple[DataFrame, DataFrame]:
+    """(``cell, id, weight, width, unit`` of all vectors in their leaves; pairs ``a, b`` of leaves to compare)."""
+    vectors = written(_unit_vectors(classes), "cells")
+    pairs = vectors.select(F.col("cell").alias("a"), F.col("cell").alias("b")).distinct()
+    leaves, ends = [], None
+    while True:
+        sizes = written(vectors.groupBy("cell").agg(F.count(F.lit(1)).alias("n")), "sizes")
+        full = built_side(sizes.where(F.col("n") > block).select("cell"))
+        leaves.append(vectors.join(full, "cell", "left_anti"))
+        if sizes.where(F.col("n") > block).isEmpty():
+            break
+        split = written(_split(vectors.join(full, "cell", "left_semi"), sizes.where(F.col("n") > block)), "split")
+        children = split.groupBy("parent", "cell").agg(F.first("center").alias("center"), F.max("far").alias("radius"))
+        # A leaf stands for itself on the levels below.
+        still = leaves[-1].groupBy("cell").agg(F.first("unit").alias("center")).select(
+            F.col("cell").alias("parent"), "cell", "center", F.lit(2.0).alias("radius")
+        ) if ends is None else ends.join(full, "cell", "left_anti").withColumn("parent", F.col("cell"))
+        ends = written(children.unionByName(still), "nodes")
+        pairs = written(_descended(pairs, ends, gap), "node-pairs")
+        vectors = split.select("cell", "id", "weight", "width", "unit")
+    placed = leaves[0]
+    for more in leaves[1:]:
+        placed = placed.union(more)
+    return placed, pairs
+
+
+def _traversed(leaves: DataFrame, pairs: DataFrame, cosine: float) -> DataFrame:
     """``id, n, a, b``: linked weights of a class (n set) or a link (a and b set)."""
-    gap = math.sqrt(2.0 - 2.0 * cosine) + 1e-6
-    ends = blocks.select("block_id", "label", "width", "low", "high")
-    other = ends.select(F.col("block_id").alias("other"), "label", "width", F.col("low").alias("from"), F.col("high").alias("to"))
-    met = ends.join(other, ["label", "width"]).where(
-        (F.col("block_id") <= F.col("other")) & (F.col("low") <= F.col("to") + gap) & (F.col("from") <= F.col("high") + gap)
+    load = written(
+        leaves.groupBy("cell", "width")
+        .agg(F.sort_array(F.collect_list(F.struct("id", "weight", "unit"))).alias("m"))
+        .select(
+            F.col("cell").alias("a"), "width", F.col("m.id").alias("ids"), F.col("m.weight").alias("weights"), F.col("m.unit").alias("units")
+        ),
+        "blocks",
     )
-    load = blocks.select("block_id", "width", "ids", "weights", "units")
     right = load.select(
-        F.col("block_id").alias("other"), F.col("ids").alias("o_ids"), F.col("weights").alias("o_weights"), F.col("units").alias("o_units")
+        F.col("a").alias("b"), F.col("ids").alias("o_ids"), F.col("weights").alias("o_weights"), F.col("units").alias("o_units")
     )
-    work = met.select("block_id", "other").join(load, "block_id").join(right, "other")
+    work = pairs.join(load, "a").join(right, "b")
 
     def traverse(batches):
         trees: dict = {}
@@ -135,7 +175,7 @@ def _traversed(blocks: DataFrame, cosine: float) -> DataFrame:
             if key not in trees:
                 if len(trees) >= 8:
                     trees.clear()
-                built = Tree(np.frombuffer(units).reshape(-1, width))
+                built = Tree(np.frombuffer(b"".join(units)).reshape(-1, width))
                 trees[key] = (built, np.asarray(ids)[built.order], np.asarray(weights, float)[built.order])
             return trees[key]
 
@@ -163,8 +203,8 @@ def _traversed(blocks: DataFrame, cosine: float) -> DataFrame:
                 )
 
     return work.select(
-        "block_id", "other", "width", "ids", "weights", "units", "o_ids", "o_weights", "o_units"
-    ).repartition("block_id", "other").mapInArrow(traverse, "id long, n long, a long, b long")
+        "a", "b", "width", "ids", "weights", "units", "o_ids", "o_weights", "o_units"
+    ).repartition("a", "b").mapInArrow(traverse, "id long, n long, a long, b long")
 
 
 def embedding_links(
@@ -186,8 +226,8 @@ def embedding_links(
     """
     classes = written(_classes(vectors, id_col, vector_col, label_col), "vectors")
     named = classes.where(F.col("id").isNotNull())
-    blocks = written(_blocks(named, block), "blocks")
-    found = written(_traversed(blocks, cosine), "found")
+    leaves, pairs = _leaves(named, block, math.sqrt(2.0 - 2.0 * cosine) + 1e-6)
+    found = written(_traversed(leaves, pairs, cosine), "found")
     labels = components(found.where(F.col("a").isNotNull()).select("a", "b"))
     counts = found.where(F.col("id").isNotNull()).groupBy("id").agg(F.sum("n").alias("n"))
     decided = classes.join(counts, "id", "left").join(labels, F.col("id") == F.col("vertex"), "left").select(

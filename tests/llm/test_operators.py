@@ -470,3 +470,49 @@ def test_packing_groups_follow_the_pieces_of_long_texts(spark):
     rows = packing.pack_documents(docs, group_documents=10).collect()
     groups = Counter(r.sequence_id >> 32 for r in rows)
     assert len(rows) > 150 and max(groups.values()) < 80
+
+
+def _links_brute(given, cosine=0.98):
+    """(links, smallest linked id) of each vector of the rows, over all pairs of a label."""
+    found = {}
+    for label in {g[2] for g in given}:
+        own = [g for g in given if g[2] == label]
+        x = np.array([g[1] for g in own], float)
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        near = (x @ x.T >= cosine) & ~np.eye(len(own), dtype=bool)
+        ids, component = [g[0] for g in own], [g[0] for g in own]
+        while True:
+            lower = [min([component[i], *(component[j] for j in np.flatnonzero(near[i]))]) for i in range(len(own))]
+            if lower == component:
+                break
+            component = lower
+        found |= {i: (int(near[k].sum()), component[k]) for k, i in enumerate(ids)}
+    return found
+
+
+def _clustered(count, rng, clusters, size=24):
+    centers = rng.randn(clusters, size)
+    return [(i, (centers[i % clusters] + rng.randn(size) * 0.08).tolist(), i % 3) for i in range(count)]
+
+
+def test_embedding_links_over_several_labels_and_levels(spark):
+    rng = np.random.RandomState(12)
+    given = _clustered(1500, rng, 60)
+    given += [(5000 + i, (np.array(given[7][1]) * (1 + i)).tolist(), given[7][2]) for i in range(100)]
+    df = spark.createDataFrame([(*g, "x") for g in given], "vec_id long, embedding array<double>, label int, cell string").repartition(5)
+    rows = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.embedding_links(df, block=24).collect()}
+    assert rows == _links_brute(given)
+
+
+def test_pairs_of_leaves_grow_with_the_rows(spark):
+    rng, met = np.random.RandomState(13), []
+    for count in (1000, 4000):
+        given = [(i, v, 0) for i, v, _ in _clustered(count, rng, count // 20)]
+        df = spark.createDataFrame(given, "vec_id long, embedding array<double>, label int")
+        classes = embedding_dedup._classes(df, "vec_id", "embedding", "label")
+        leaves, pairs = embedding_dedup._leaves(classes, 32, 0.21)
+        cells = leaves.select("cell").distinct().count()
+        assert leaves.count() == count
+        met.append((cells, pairs.count()))
+    (few, small), (many, large) = met
+    assert large < 8 * small and large < 0.2 * many * many
