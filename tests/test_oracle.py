@@ -38,3 +38,10 @@ def test_filters_and_columns_reach_the_scan(spark):
     plan = all_queries()["daily_sales"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(o_orderdate" in plan
     assert "l_comment" not in plan and "l_shipdate" not in plan
+
+
+@pytest.mark.parametrize(
+    "name", ["upsert_ltv", "upsert_ltv_unconditional", "upsert_reorder", "upsert_counts", "customer_ltv_job", "ltv_refused", "merge_buckets", "change_stream"]
+)
+def test_merges_equal_sql_where_some_rows_are_refused(spark, name):
+    assert compare(spark, "/root/testdata/sf0.01", name) == ""
