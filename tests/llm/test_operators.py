@@ -516,3 +516,13 @@ def test_pairs_of_leaves_grow_with_the_rows(spark):
         met.append((cells, pairs.count()))
     (few, small), (many, large) = met
     assert large < 8 * small and large < 0.2 * many * many
+
+
+def test_rank_form_and_tokenizer_give_equal_ids_over_a_whole_table(spark):
+    path, ranks = tokenizer_file(), tokenizer_file("byte_bpe_50k.tiktoken")
+    tokenizer = packing._tokenizer(path)
+    encoder = packing.Encoder(path, ranks, [t.content for t in tokenizer.get_added_tokens_decoder().values()])
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    for text, encoded in zip(texts, tokenizer.encode_batch(texts, add_special_tokens=False)):
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == encoded.ids
+    assert "tokenizer" not in vars(encoder)
