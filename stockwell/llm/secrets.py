@@ -9,13 +9,15 @@ versions are never scanned again; a new rule version scans everything once.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockwell.llm.common import whole_text, written
+from stockwell.llm.common import built_side, whole_text, written
 from stockwell.llm.native import match_spans
+from stockwell.sources.files import path_exists
 
 RULE_VERSION = 1
 
@@ -141,6 +143,80 @@ def scan_secrets(
     return paths.join(found, "blob", "left").select("doc_id", "blob", F.coalesce("spans", none).alias("spans")), grown
 
 
+def rule_name(rule: SecretRule) -> str:
+    """A rule's kind and a digest of all it says: a changed rule is another rule."""
+    told = repr((rule.kind, rule.pattern, rule.keywords, rule.group, rule.least))
+    return f"{rule.kind}-{hashlib.sha256(told.encode()).hexdigest()[:16]}"
+
+
+class SecretLedger:
+    """A ledger in a folder of its own, with a row for each blob and rule ever scanned.
+
+    Every run appends its rows under its own name. A run that is repeated, say after it was lost
+    halfway, replaces them; what other runs have scanned is never scanned again. A new
+    or changed rule is scanned alone, over all blobs.
+    """
+
+    _schema = "blob string, rule string, spans array<struct<start:bigint,end:bigint>>, _run string"
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def rows(self) -> DataFrame:
+        """``blob, rule, spans, _run`` of all runs."""
+        if not path_exists(self.spark, self.path):
+            return self.spark.createDataFrame([], self._schema)
+        return self.spark.read.schema(self._schema).parquet(self.path)
+
+    def scan(
+        self, docs: DataFrame, run: str, rules: list[SecretRule] = RULES, id_col: str = "doc_id", text_col: str = "text"
+    ) -> DataFrame:
+        """``doc_id, blob, spans`` of every path, as :func:`scan_secrets` has them, after scanning what is unseen.
+
+        Null and empty texts are one blob. Rows that repeat an id are versions, each a path of its
+        own blob. An empty table scans nothing and gives no rows; other columns are not read.
+        """
+        names = [rule_name(r) for r in rules]
+        paths = written(blobs(docs, id_col, text_col), "paths")
+        wanted = paths.groupBy("blob").agg(F.min("doc_id").alias("_id")).withColumn("rule", F.explode(_names(names)))
+        seen = self.rows().where(F.col("_run") != run).select("blob", "rule")
+        unseen = wanted.join(seen, ["blob", "rule"], "left_anti").groupBy("blob", "_id").agg(F.collect_set("rule").alias("_rules"))
+        self._append(docs, written(unseen, "unseen"), names, rules, run, id_col, text_col)
+
+        number = F.create_map(*[F.lit(x) for i, n in enumerate(names) for x in (n, i)])
+        known = self.rows().where(F.col("rule").isin(names) & (F.size("spans") > 0)).dropDuplicates(["blob", "rule"])
+        kind = F.element_at(number, F.col("rule"))
+        spans = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), kind.alias("kind"), s["end"].alias("end")))
+        found = known.select("blob", spans.cast(f"array<{_SPAN}>").alias("spans")).groupBy("blob").agg(
+            F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans")
+        )
+        none = F.array().cast(f"array<{_SPAN}>")
+        return paths.join(found, "blob", "left").select("doc_id", "blob", F.coalesce("spans", none).alias("spans"))
+
+    def _append(self, docs, unseen, names, rules, run, id_col, text_col) -> None:
+        texts = docs.select(F.col(id_col).alias("_key"), whole_text(text_col).alias("_text"))
+        named = built_side(unseen.withColumnRenamed("blob", "_blob"))
+        fetched = texts.withColumn("blob", F.sha2("_text", 256)).join(
+            named, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("blob") == F.col("_blob"))
+        )
+        lowered = fetched.withColumn("_lowered", F.lower("_text"))
+        ends = F.array().cast("array<struct<start:bigint,end:bigint>>")
+        each = []
+        for i, (name, rule) in enumerate(zip(names, rules)):
+            spans = _rule_spans(F.col("_text"), F.col("_lowered"), i, rule)
+            own = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+            wanted = F.array_contains("_rules", name)
+            each.append(F.when(wanted, F.struct(F.lit(name).alias("rule"), F.coalesce(own, ends).alias("spans"))))
+        rows = lowered.select("blob", F.explode(F.array_compact(F.array(*each))).alias("r")).select("blob", "r.rule", "r.spans")
+        # Versions that repeat id and text are one blob.
+        once = rows.dropDuplicates(["blob", "rule"]).withColumn("_run", F.lit(run))
+        once.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_run").parquet(self.path)
+
+
+def _names(names: list[str]) -> Column:
+    return F.array(*[F.lit(n) for n in names])
+
+
 def secret_digest(scanned: DataFrame, rules: list[SecretRule] = RULES) -> DataFrame:
     kinds = F.array(*[F.lit(r.kind) for r in rules])
 

@@ -526,3 +526,35 @@ def test_rank_form_and_tokenizer_give_equal_ids_over_a_whole_table(spark):
     for text, encoded in zip(texts, tokenizer.encode_batch(texts, add_special_tokens=False)):
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == encoded.ids
     assert "tokenizer" not in vars(encoder)
+
+
+def test_secret_ledger_in_a_folder_scans_only_unseen_pairs(spark, tmp_path):
+    key, other = "AKIAABCDEFGHIJKL12", "AKIAZZZZZZZZZZZZ99"
+    rules = secrets.RULES[:3]
+    ledger = secrets.SecretLedger(spark, f"{tmp_path}/ledger")
+
+    def table(*rows):
+        return spark.createDataFrame(rows, "doc_id long, text string")
+
+    def pairs(run):
+        return Counter(r.rule.split("-")[0] for r in ledger.rows().where(f"_run = '{run}'").collect())
+
+    first = table((1, f"a {key}"), (2, f"a {key}"), (3, None), (4, "nothing"))
+    found = {r.doc_id: [tuple(s) for s in r.spans] for r in ledger.scan(first, "one", rules).collect()}
+    assert found == {1: [(2, 1, 20)], 2: [(2, 1, 20)], 3: [], 4: []}
+    assert pairs("one") == {"assign": 3, "access": 3, "hex": 3}
+    # The same run again replaces its rows; another one over the same texts scans nothing.
+    ledger.scan(first, "one", rules)
+    ledger.scan(first, "two", rules)
+    assert pairs("one") == {"assign": 3, "access": 3, "hex": 3} and not pairs("two")
+
+    # A changed text, a new version of an id, a copy of an old text; and one changed rule.
+    changed = [rules[0], secrets.SecretRule("access", r"AKIA[A-Z0-9]+", ("akia",), least=10), rules[2]]
+    second = table((1, f"b {other}"), (2, f"a {key}"), (4, "nothing"), (4, f"b {other}"), (None, f"a {key}"))
+    found = sorted(((r.doc_id, [tuple(s) for s in r.spans]) for r in ledger.scan(second, "three", changed).collect()), key=repr)
+    assert found == sorted([(1, [(2, 1, 20)]), (2, [(2, 1, 20)]), (4, []), (4, [(2, 1, 20)]), (None, [(2, 1, 20)])], key=repr)
+    assert pairs("three") == {"assign": 1, "access": 3, "hex": 1}
+    whole = ledger.scan(spark.read.parquet(f"{SMALL}/documents.parquet"), "four")
+    plain, _ = secrets.scan_secrets(spark.read.parquet(f"{SMALL}/documents.parquet"))
+    assert sorted(map(tuple, whole.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+    assert ledger.scan(first.limit(0), "five").count() == 0
