@@ -22,9 +22,11 @@ from pyspark.sql import types as T
 from stockwell.functions import abc_class
 from stockwell.params import ABC_THRESHOLDS
 from stockwell.schemas import exact
-from stockwell.session import materialized
+from stockwell.session import materialized, new_folder
+from stockwell.sources.tables import colocated
 
 _ROW, _SLICE, _PLACE = "_row", "_slice", "_place"
+BUCKETS_PER_SLICE = 4
 
 
 def _same(a, b) -> bool:
@@ -112,10 +114,14 @@ def _places(rows: DataFrame, order: Order) -> DataFrame:
     tie_order = F.col("_tie").desc() if order.tie_descending else F.col("_tie").asc()
     sorted_rows = narrow.repartitionByRange(value_order, tie_order).sortWithinPartitions(value_order, tie_order)
     number = F.monotonically_increasing_id()
-    slices = materialized(
-        sorted_rows.withColumns({_SLICE: F.shiftright(number, 33).cast("int"), _PLACE: number.bitwiseAND((1 << 33) - 1)}),
-        "slices",
+    placed_rows = sorted_rows.withColumns(
+        {_SLICE: F.shiftright(number, 33).cast("int"), _PLACE: number.bitwiseAND((1 << 33) - 1)}
     )
+    # Stored by slice, so that what is computed for each slice below moves no row. A slice is one
+    # bucket's; with several buckets for each of them few slices share one.
+    spark = rows.sparkSession
+    buckets = BUCKETS_PER_SLICE * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    slices = colocated(placed_rows, new_folder(spark, "slices"), _SLICE, buckets)
     key = F.struct(F.col("_value").isNull().alias("missing"), F.col("_value").alias("v"))
     low, high = (F.max(key), F.min(key)) if order.descending else (F.min(key), F.max(key))
     total_type = T.DecimalType(38, slices.schema["_amount"].dataType.scale) if order.sums else T.LongType()

@@ -133,25 +133,35 @@ def exchanges(df):
 def test_only_narrow_rows_are_sorted_and_one_file_serves_both_ranks(spark, monkeypatch):
     from stockwell.operators import ranking
 
-    written, plans = [], []
+    stored, real, by_slice = [], ranking.materialized, ranking.colocated
 
-    def recorded(df, name, real=ranking.materialized):
-        written.append((name, df.columns))
-        plans.append((name, exchanges(df)))
+    def recorded(df, name):
+        stored.append((name, df.columns, exchanges(df)))
         return real(df, name)
 
+    def recorded_slices(df, path, key, buckets):
+        stored.append(("slices", df.columns, exchanges(df)))
+        return by_slice(df, path, key, buckets)
+
     monkeypatch.setattr(ranking, "materialized", recorded)
+    monkeypatch.setattr(ranking, "colocated", recorded_slices)
     scored = table(spark, range(40)).select(
         F.col("id").alias("customer_id"), F.col("v").cast("double").alias("ltv_score"), F.col("v").alias("total_revenue"),
         *[F.lit("wide").alias(f"wide{i}") for i in range(10)],
     )
     result = ltv_ranks(scored)
     assert result.count() == 40 and set(scored.columns) < set(result.columns)
-    assert [name for name, _ in written] == ["ordered", "slices", "slices"]
-    assert all("wide0" not in columns for name, columns in written if name == "slices")
-    for name, found in plans:
-        if name == "slices":
-            assert len(found) == 1 and "rangepartitioning" in found[0]
+    assert [name for name, *_ in stored] == ["ordered", "slices", "slices"]
+    for name, columns, found in stored[1:]:
+        assert "wide0" not in columns and len(found) == 1 and "rangepartitioning" in found[0]
+
+
+def test_one_exchange_for_each_order(spark):
+    """After the range exchange of the stored slices nothing moves by slice or value, only joins by row number do."""
+    df = ordered(table(spark, range(50)), "v", "id", percent_rank="pr", running_total="total", running_share="share")
+    found = [x for x in exchanges(df) if "BroadcastExchange" not in x]
+    assert all("hashpartitioning(_row" in x for x in found)
+    assert "Bucketed: true" in df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_position_needs_no_window(spark):
