@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockwell.functions import cast_errors
+from stockwell.session import materialized
 
 ERRORS = "_errors"
 LINE = "_line"
@@ -286,7 +287,7 @@ def read_csv_evolving(
     Of the files only the distinct names of new columns come to the driver.
     """
     lines = numbered(text_lines(spark, path))
-    layouts = file_layouts(lines, schema, delimiter)
+    layouts = materialized(file_layouts(lines, schema, delimiter), "layouts")
     names = layouts.select(F.explode("names").alias("name")).distinct()
     known = [f.name.lower() for f in schema.fields]
     extra = sorted(r["name"] for r in names.where(~F.col("name").isin(known) & (F.col("name") != "")).collect())
