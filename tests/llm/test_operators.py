@@ -435,7 +435,7 @@ def test_sketches_estimate_and_bound(spark):
             true = int(size * shared) / (2 * size - int(size * shared))
             equal = (setsketch.registers(a) == setsketch.registers(b)).mean()
             assert abs(equal - true) < 0.12
-            bits = np.bitwise_count(setsketch.odd_sketch(a) ^ setsketch.odd_sketch(b)).sum()
+            bits = np.bitwise_count((setsketch.odd_sketch(a) ^ setsketch.odd_sketch(b)).view(np.uint64)).sum()
             assert bits <= 2 * (size - int(size * shared))
     union = np.maximum(setsketch.registers(pool[:700]), setsketch.registers(pool[500:1500]))
     assert (union == setsketch.registers(pool[:1500])).all()
