@@ -4,7 +4,9 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from stockwell.llm import language_id, mixing
@@ -97,3 +99,29 @@ def test_an_empty_table_goes_through(spark, tmp_path):
     schema = spark.read.parquet(f"{SMALL}/documents.parquet").schema
     spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_stages_send_texts_to_python_in_small_batches(spark, tmp_path):
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    schema = spark.read.parquet(f"{SMALL}/documents.parquet").schema
+    spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/documents.parquet")
+    none = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    texts = spark.range(6000, numPartitions=1).select(F.repeat(F.lit("word "), 400).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], names=["bytes", "n"])
+
+    before = spark.conf.get(setting)
+    try:
+        for name, stage in corpus_pipeline.STAGES:
+            spark.conf.unset(setting)
+            stage(spark, none, str(tmp_path))
+            seen = texts.mapInArrow(sizes, "bytes long, n long").agg(F.max("bytes").alias("most"), F.sum("n").alias("n")).first()
+            assert seen.most < 3 << 20, name
+            assert seen.n == 6000
+        spark.conf.set(setting, "5m")
+        corpus_pipeline.run(spark, str(tmp_path))
+        assert spark.conf.get(setting) == "5m"
+    finally:
+        spark.conf.set(setting, before)
