@@ -6,6 +6,7 @@ import re
 import time
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -518,6 +519,44 @@ def test_pairs_of_leaves_grow_with_the_rows(spark):
     assert large < 8 * small and large < 0.2 * many * many
 
 
+def _shuffled(spark):
+    """Bytes of the shuffle files that there are."""
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return sum(f.stat().st_size for folder in folders for f in Path(folder.getPath()).rglob("shuffle_*"))
+
+
+def test_blocks_of_vectors_without_structure_are_not_dealt_per_pair(spark):
+    rng = np.random.RandomState(14)
+    x = rng.randn(6000, 64).astype(np.float32)
+    x[4000:] = x[0] + rng.randn(2000, 64) * 0.1
+    given = [(i, v, 0) for i, v in enumerate(x.tolist())]
+    df = spark.createDataFrame(given, "vec_id long, embedding array<float>, label int").repartition(4).cache()
+    assert df.count() == 6000
+    before = _shuffled(spark)
+    rows = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.embedding_links(df, block=64).collect()}
+    assert _shuffled(spark) - before < 2 * x.nbytes
+    assert rows == _links_brute(given)
+
+
+def test_embedding_links_with_guests_and_sketches(spark):
+    rng = np.random.RandomState(15)
+    given = _clustered(900, rng, 40) + [(1000 + i, rng.randn(24).tolist(), i % 3) for i in range(900)]
+    given += [(2000 + i, given[900 + i][1], given[900 + i][2]) for i in range(60)]
+    given = [(i, np.float32(v).tolist(), label) for i, v, label in given]
+    near = _links_brute(given)
+    for kind in ("float", "double"):
+        df = spark.createDataFrame(given, f"vec_id long, embedding array<{kind}>, label int").repartition(7)
+        for block, bundle, sketches in ((16, 150, 10**6), (32, 90, 130), (1024, 300, 200)):
+            links = embedding_dedup.embedding_links(df, block=block, bundle=bundle * 24 * 4, sketches=sketches)
+            assert {r.vec_id: (r.n_links, r.component_id) for r in links.collect()} == near
+    classes = embedding_dedup._classes(df, "vec_id", "embedding", "label")
+    sizes = embedding_dedup._sizes(classes)
+    left, _ = embedding_dedup._partnered(classes, sizes, 0.2 + 1e-6, 300 * 24 * 4, 200)
+    ids = {r.id for r in left.collect()}
+    assert {i for i, (n, _) in near.items() if n} <= ids | {i for i in near if i >= 2000}
+    assert len(ids) < 1400
+
+
 def test_rank_form_and_tokenizer_give_equal_ids_over_a_whole_table(spark):
     path, ranks = tokenizer_file(), tokenizer_file("byte_bpe_50k.tiktoken")
     tokenizer = packing._tokenizer(path)
