@@ -35,16 +35,16 @@ from pyspark.sql import types as T
 
 from stockwell.llm.common import built_side, sliced, written
 from stockwell.llm.components import components
-from stockwell.llm.cover_tree import SLACK, Block, Forest, linked
+from stockwell.llm.cover_tree import SLACK, Block, Forest, linked, places
 
 #: Vectors of one block, centers of a crowded cell at most, vectors a center tree is drawn from, and of these in a leaf.
 BLOCK, FANOUT, DRAWN, DRAWN_LEAF = 1024, 32, 32768, 32
 #: Bytes of a bundle's own vectors in single precision, and sketches of a bundle.
-BUNDLE, SKETCHES = 32 << 20, 1 << 20
+BUNDLE, SKETCHES = 32 << 20, 1 << 19
 #: Bits of the table of sketches with a partner, and the most of them it is used for.
 SLOTS, MOST = 1 << 27, 1 << 23
 #: Rows that are looked at together, sketches that are compared at once, and bits of their grid.
-ROWS, ASKED, GRID = 8192, 2048, 12
+ROWS, ASKED, GRID = 8192, 8192, 12
 #: Unit vectors in whole numbers.
 WHOLE = 2.0**20
 
@@ -181,8 +181,8 @@ class _Grid:
     """Sketches in cells between their medians, for all that lie within a reach of others."""
 
     def __init__(self, sketches: np.ndarray, active: np.ndarray, reach: float):
-        bits = min(GRID, sketches.shape[1], max(0, len(sketches) >> 8).bit_length())
-        self.medians = np.median(sketches[:, :bits], axis=0).astype(np.float32) if bits else np.zeros(0, np.float32)
+        bits = min(GRID, sketches.shape[1], (len(sketches) >> 9).bit_length())
+        self.medians = np.array([np.median(sketches[:, i]) for i in range(bits)], np.float32)
         code = self._code(sketches)
         self.order = np.argsort(code, kind="stable")
         self.sketches, self.active = sketches[self.order], active[self.order]
@@ -198,6 +198,15 @@ class _Grid:
         above = sketches[:, : len(self.medians)] > self.medians
         return above.astype(np.int64) @ (1 << np.arange(len(self.medians)))
 
+    def _near(self, sketches: np.ndarray) -> np.ndarray:
+        """For each cell and sketch, whether the medians between them allow that it holds one within reach."""
+        first = sketches[:, : len(self.medians)]
+        above = (first > self.medians).astype(np.float32)
+        over = (first.astype(np.float32) - self.medians) ** 2
+        apart = (1 - self.sides).T @ (over * above).T
+        apart += self.sides.T @ (over * (1 - above)).T
+        return apart <= self.reach_grid
+
     @staticmethod
     def _lifted(first: np.ndarray, left: bool) -> np.ndarray:
         """Rows whose products are minus half the squared distance."""
@@ -207,16 +216,10 @@ class _Grid:
 
     def ask(self, sketches: np.ndarray, active: np.ndarray, own: int | None = None) -> None:
         """Mark what lies within reach of each other in both ``active``. With ``own`` the sketches are the grid's from there on."""
-        cells, bits = len(self.starts) - 1, len(self.medians)
-        above = (sketches[:, :bits] > self.medians).astype(np.float32)
-        over = (sketches[:, :bits].astype(np.float32) - self.medians) ** 2
-        apart = (over * above) @ (1 - self.sides)
-        apart += (over * (1 - above)) @ self.sides
-        near = apart <= self.reach_grid
+        near = np.concatenate([self._near(sketches[i : i + 2048]) for i in range(0, len(sketches), 2048)], axis=1)
         if own is not None:
-            near &= np.arange(cells)[None, :] >= self._code(sketches)[:, None]
+            near &= np.arange(len(near))[:, None] >= self._code(sketches)[None, :]
         lifted = self._lifted(sketches[:, : self.first], True)
-        near = np.ascontiguousarray(near.T)
         for cell in np.flatnonzero(near.any(axis=1) & (np.diff(self.starts) > 0)):
             s, e = self.starts[cell], self.starts[cell + 1]
             asked, held = np.flatnonzero(near[cell]), np.arange(s, e)
@@ -227,12 +230,15 @@ class _Grid:
             if not len(asked) or not len(held):
                 continue
             right = self._lifted(self.sketches[held, : self.first], False)
-            for part in (asked[i : i + ASKED] for i in range(0, len(asked), ASKED)):
+            most = max(1, (1 << 20) // len(held))
+            for part in (asked[i : i + most] for i in range(0, len(asked), most)):
                 close = lifted[part] @ right.T >= -self.reach_first / 2
-                if not close.any():
+                many = np.count_nonzero(close)
+                if not many:
                     continue
-                close &= ~(active[part][:, None] & self.active[held][None, :])
-                r, c = np.nonzero(close)
+                if 64 * many > close.size:
+                    close &= ~(active[part][:, None] & self.active[held][None, :])
+                r, c = places(close)
                 r, c = part[r], held[c]
                 if own is not None:
                     other = r + own != c
@@ -257,7 +263,10 @@ def _marked(bundles, steps: dict[int, tuple[float, int]], gap: float):
         """The grid of a bundle's own sketches; equal vectors have a partner, and are one sketch."""
         step, width = steps[at[1]]
         names, first, times = np.unique(np.concatenate(keys), return_index=True, return_counts=True)
-        grid = _Grid(np.concatenate(sketches)[first], times > 1, (gap + _slack(width)) / step)
+        own = np.concatenate(sketches)
+        keys.clear()
+        sketches.clear()
+        grid = _Grid(own[first], times > 1, (gap + _slack(width)) / step)
         grid.keys = names[grid.order]
         for i in range(0, len(names), ASKED):
             part = slice(i, i + ASKED)
@@ -266,7 +275,7 @@ def _marked(bundles, steps: dict[int, tuple[float, int]], gap: float):
 
     for bundle, kind, root, key, sketch in bundles:
         if (bundle, root) != at:
-            if at is not None:
+            if grid or keys:
                 grid = grid or settled()
                 yield slots(grid.keys[grid.active])
             grid, at, keys, sketches = None, (bundle, root), [], []
@@ -280,7 +289,7 @@ def _marked(bundles, steps: dict[int, tuple[float, int]], gap: float):
                 grid.ask(sketch[i : i + ASKED], met)
                 if met.any():
                     yield slots(key[i : i + ASKED][met])
-    if at is not None and (grid or keys):
+    if grid or keys:
         grid = grid or settled()
         yield slots(grid.keys[grid.active])
 
@@ -343,9 +352,9 @@ def _partnered(classes: DataFrame, sizes: DataFrame, gap: float, bundle: int, sk
         yield from _marked(runs(), {r: (p[1], p[2]) for r, p in plan.value.items()}, gap)
 
     sent = classes.select("root", "vec").mapInArrow(dealt, "bundle int, kind int, root long, key long, sketch binary")
-    sorted_in = sent.repartition(bundles, "bundle").sortWithinPartitions("bundle", "kind")
+    sorted_in = sent.repartitionById(bundles, "bundle").sortWithinPartitions("bundle", "kind")
     slots = written(sorted_in.mapInArrow(marked, "slot int").distinct(), "partnered")
-    if slots.count() > MOST:
+    if slots.count() > min(MOST, sum(s["n"] for s in large) // 4):
         return classes, sizes
     table = np.zeros(SLOTS // 8, np.uint8)
     for slot in slots.toArrow().column(0).chunks:
@@ -361,7 +370,7 @@ def _partnered(classes: DataFrame, sizes: DataFrame, gap: float, bundle: int, sk
             copied = batch.column(3).to_numpy(zero_copy_only=False) > 1
             yield batch.filter(pa.array((partner == 1) | copied | ~np.isin(roots, list(plan.value))))
 
-    classes = classes.mapInArrow(kept, classes.schema)
+    classes = written(classes.mapInArrow(kept, classes.schema), "vectors")
     return classes, _sizes(classes)
 
 
@@ -524,16 +533,21 @@ def _leaves(classes: DataFrame, block: int, gap: float) -> tuple[DataFrame, Data
     return _placed(classes, cells), pairs
 
 
+def _cells_of(batch, cells: _Cells) -> np.ndarray:
+    """The leaf of each class. A root without a tree is a cell of its own, below all nodes."""
+    found = np.zeros(batch.num_rows, np.int64)
+    for root, places, raw, keys in _by_root(batch):
+        found[places] = cells.leaves(root, raw, keys) if root in cells.roots else -1 - root
+    return found
+
+
 def _placed(classes: DataFrame, cells: _Cells) -> DataFrame:
     shared = classes.sparkSession.sparkContext.broadcast(cells)
 
     def place(batches):
         for batch in batches:
-            found = np.zeros(batch.num_rows, np.int64)
-            for root, places, raw, keys in _by_root(batch):
-                # A root without a tree is a cell of its own, below all nodes.
-                found[places] = shared.value.leaves(root, raw, keys) if root in shared.value.roots else -1 - root
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], names=[*batch.schema.names, "cell"])
+            found = pa.array(_cells_of(batch, shared.value))
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, "cell"])
 
     return classes.mapInArrow(place, T.StructType([*classes.schema.fields, T.StructField("cell", T.LongType())]))
 
@@ -577,12 +591,12 @@ def _traversed(classes: DataFrame, cells: _Cells, counts: dict[int, int], pairs:
     guests: dict[int, list[int]] = defaultdict(list)
     for r in work.where("guest").select("other", "bundle").distinct().collect():
         guests[r["other"]].append(r["bundle"])
-    places = spark.sparkContext.broadcast((homes, dict(guests)))
+    shared = spark.sparkContext.broadcast((cells, homes, dict(guests)))
 
     def dealt(batches):
-        home, guest = places.value
+        cells, home, guest = shared.value
         for batch in batches:
-            names = batch.column(5).to_pylist()
+            names = _cells_of(batch, cells).tolist()
             to = [(i, home.get(c, large + r % tasks), 1) for i, (c, r) in enumerate(zip(names, batch.column(0).to_pylist()))]
             to += [(i, b, 2) for i, c in enumerate(names) for b in guest.get(c, ())]
             rows = batch.take(pa.array([x[0] for x in to], pa.int64()))
@@ -590,7 +604,7 @@ def _traversed(classes: DataFrame, cells: _Cells, counts: dict[int, int], pairs:
                 [
                     pa.array([x[1] for x in to], pa.int32()),
                     pa.array([x[2] for x in to], pa.int32()),
-                    rows.column(5),
+                    pa.array([names[x[0]] for x in to], pa.int64()),
                     pa.nulls(len(to), pa.int64()),
                     rows.column(2),
                     rows.column(3),
@@ -600,13 +614,13 @@ def _traversed(classes: DataFrame, cells: _Cells, counts: dict[int, int], pairs:
                 names=["bundle", "kind", "cell", "other", "id", "weight", "width", "vec"],
             )
 
-    sent = _placed(classes, cells).mapInArrow(dealt, DEALT)
+    sent = classes.mapInArrow(dealt, DEALT)
     asked = work.select(
         "bundle", F.lit(0).alias("kind"), "cell", "other", F.lit(None).cast("long").alias("id"), F.lit(None).cast("long").alias("weight"),
         F.lit(None).cast("int").alias("width"), F.lit(None).cast("binary").alias("vec"),
     )
     root_of = spark.sparkContext.broadcast(cells.root_of)
-    together = sent.union(asked).repartition(large + tasks, "bundle").sortWithinPartitions("bundle", "kind", "cell")
+    together = sent.union(asked).repartitionById(large + tasks, "bundle").sortWithinPartitions("bundle", "kind", "cell")
 
     def compared(batches):
         def runs():
@@ -782,7 +796,8 @@ def embedding_links(
     """
     rows = _plain(vectors, id_col, vector_col, label_col)
     roots, gap = _roots(rows), math.sqrt(2.0 - 2.0 * cosine) + 1e-6
-    classes = _classes(vectors, id_col, vector_col, label_col, roots)
+    # Written once: each step then runs one Python worker a task, which keeps the memory of its largest batch.
+    classes = written(_classes(vectors, id_col, vector_col, label_col, roots), "vectors")
     classes, sizes = _partnered(classes, _sizes(classes), gap, bundle, sketches)
     cells, counts, pairs = _tree(classes, sizes, block, gap)
     found = written(_traversed(classes, cells, counts, pairs, cosine, bundle), "found")

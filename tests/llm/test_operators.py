@@ -540,8 +540,8 @@ def test_blocks_of_vectors_without_structure_are_not_dealt_per_pair(spark):
 
 def test_embedding_links_with_guests_and_sketches(spark):
     rng = np.random.RandomState(15)
-    given = _clustered(900, rng, 40) + [(1000 + i, rng.randn(24).tolist(), i % 3) for i in range(900)]
-    given += [(2000 + i, given[900 + i][1], given[900 + i][2]) for i in range(60)]
+    given = _clustered(300, rng, 15) + [(1000 + i, rng.randn(24).tolist(), i % 3) for i in range(1500)]
+    given += [(5000 + i, given[300 + i][1], given[300 + i][2]) for i in range(60)]
     given = [(i, np.float32(v).tolist(), label) for i, v, label in given]
     near = _links_brute(given)
     for kind in ("float", "double"):
@@ -553,8 +553,8 @@ def test_embedding_links_with_guests_and_sketches(spark):
     sizes = embedding_dedup._sizes(classes)
     left, _ = embedding_dedup._partnered(classes, sizes, 0.2 + 1e-6, 300 * 24 * 4, 200)
     ids = {r.id for r in left.collect()}
-    assert {i for i, (n, _) in near.items() if n} <= ids | {i for i in near if i >= 2000}
-    assert len(ids) < 1400
+    assert {i for i, (n, _) in near.items() if n} <= ids | {i for i in near if i >= 5000}
+    assert len(ids) < 500
 
 
 def test_rank_form_and_tokenizer_give_equal_ids_over_a_whole_table(spark):
