@@ -40,7 +40,7 @@ from stockwell.llm.cover_tree import SLACK, Block, Forest, linked, places
 #: Vectors of one block, centers of a crowded cell at most, vectors a center tree is drawn from, and of these in a leaf.
 BLOCK, FANOUT, DRAWN, DRAWN_LEAF = 1024, 32, 32768, 32
 #: Bytes of a bundle's own vectors in single precision, and sketches of a bundle.
-BUNDLE, SKETCHES = 32 << 20, 1 << 19
+BUNDLE, SKETCHES = 64 << 20, 1 << 19
 #: Bits of the table of sketches with a partner, and the most of them it is used for.
 SLOTS, MOST = 1 << 27, 1 << 23
 #: Rows that are looked at together, sketches that are compared at once, and bits of their grid.
@@ -354,7 +354,7 @@ def _partnered(classes: DataFrame, sizes: DataFrame, gap: float, bundle: int, sk
     sent = classes.select("root", "vec").mapInArrow(dealt, "bundle int, kind int, root long, key long, sketch binary")
     sorted_in = sent.repartitionById(bundles, "bundle").sortWithinPartitions("bundle", "kind")
     slots = written(sorted_in.mapInArrow(marked, "slot int").distinct(), "partnered")
-    if slots.count() > min(MOST, sum(s["n"] for s in large) // 4):
+    if slots.count() > min(MOST, sum(s["n"] for s in large) // 2):
         return classes, sizes
     table = np.zeros(SLOTS // 8, np.uint8)
     for slot in slots.toArrow().column(0).chunks:
@@ -637,31 +637,29 @@ class _Cell:
     """Equal vectors of a leaf as one, without those that have no id."""
 
     def __init__(self, root: int, width: int, members: dict[bytes, list[Any]]):
-        self.root, self.named = root, {v: m for v, m in members.items() if m[0] is not None}
-        self.nameless = [m[1] for m in members.values() if m[0] is None]
-        self.lone = [v for v, m in members.items() if m[0] is None]
-        self.vecs, self.width = list(self.named), width
-        self.ids = np.array([m[0] for m in self.named.values()], np.int64)
-        self.weights = np.array([m[1] for m in self.named.values()], np.int64)
+        named = {v: m for v, m in members.items() if m[0] is not None}
+        self.root, self.lone = root, [(v, m[1]) for v, m in members.items() if m[0] is None]
+        self.raw = _matrix(list(named), width) if named else None
+        self.ids = np.array([m[0] for m in named.values()], np.int64)
+        self.weights = np.array([m[1] for m in named.values()], np.int64)
         self.block: Block | None = None
 
     def built(self, at: int) -> Block | None:
-        if self.vecs:
-            self.block = Block(_matrix(self.vecs, self.width), self.weights, at)
+        if self.raw is not None:
+            self.block, self.raw = Block(self.raw, self.weights, at), None
             order = self.block.tree.order
             self.ids, self.weights = self.ids[order], self.weights[order]
-            self.vecs = [self.vecs[i] for i in order]
         return self.block
 
     def rows(self, home: bool):
         """What is known of classes that are linked or have copies; of a guest the links only."""
         n = self.block.sums.astype(np.int64) if self.block else np.zeros(0, np.int64)
         told = np.flatnonzero((n > 0) | (home & (self.weights > 1)))
-        lone = [(v, w) for v, w in zip(self.lone, self.nameless) if home and w > 1]
+        lone = [(v, w) for v, w in self.lone if home and w > 1]
         count = len(told) + len(lone)
         return _found(
             root=pa.array([self.root] * count, pa.int64()),
-            digest=pa.array([*(_digest(self.vecs[i]) for i in told), *(_digest(v) for v, _ in lone)], pa.binary()),
+            digest=pa.array([*(_digest(self.block.tree.raw[i].tobytes()) for i in told), *(_digest(v) for v, _ in lone)], pa.binary()),
             id=pa.array([*self.ids[told].tolist(), *[None] * len(lone)], pa.int64()),
             weight=pa.array([*self.weights[told].tolist(), *(w for _, w in lone)], pa.int64()),
             n=pa.array([*n[told].tolist(), *[0] * len(lone)], pa.int64()),
@@ -693,7 +691,7 @@ def _compared(rows, cosine: float, root_of: list[int]):
         held = 0
         for cell in own.values():
             cell.built(held)
-            held += len(cell.vecs)
+            held += len(cell.ids)
         forest = Forest(held)
         names = np.concatenate([np.zeros(0, np.int64), *(c.ids for c in own.values())])
         for name, cell in own.items():
