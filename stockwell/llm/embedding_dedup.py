@@ -354,7 +354,7 @@ def _partnered(classes: DataFrame, sizes: DataFrame, gap: float, bundle: int, sk
     sent = classes.select("root", "vec").mapInArrow(dealt, "bundle int, kind int, root long, key long, sketch binary")
     sorted_in = sent.repartitionById(bundles, "bundle").sortWithinPartitions("bundle", "kind")
     slots = written(sorted_in.mapInArrow(marked, "slot int").distinct(), "partnered")
-    if slots.count() > min(MOST, sum(s["n"] for s in large) // 2):
+    if slots.count() > MOST:
         return classes, sizes
     table = np.zeros(SLOTS // 8, np.uint8)
     for slot in slots.toArrow().column(0).chunks:
@@ -370,8 +370,12 @@ def _partnered(classes: DataFrame, sizes: DataFrame, gap: float, bundle: int, sk
             copied = batch.column(3).to_numpy(zero_copy_only=False) > 1
             yield batch.filter(pa.array((partner == 1) | copied | ~np.isin(roots, list(plan.value))))
 
-    classes = written(classes.mapInArrow(kept, classes.schema), "vectors")
-    return classes, _sizes(classes)
+    few = classes.mapInArrow(kept, classes.schema)
+    left, before = _sizes(few), sizes.agg(F.sum("n")).first()[0]
+    # Rows that are mostly kept, such as many copies of few vectors, are not written again.
+    if 2 * left.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] > before:
+        return classes, sizes
+    return written(few, "vectors"), left
 
 
 # --- cover tree
